@@ -10,7 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from topicmill.operators import corpus, counts, dictionary, tfidf
+from topicmill.operators import (
+    corpus,
+    counts,
+    dictionary,
+    lda,
+    lsi,
+    similarity,
+    splitting,
+    tfidf,
+)
 from topicmill.operators.numbering import number_by
 from topicmill.session import staged
 from topicmill.sources import documents as sources, wordlists
@@ -247,6 +256,114 @@ def tfidf_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tfidf.VectorTable]:
+    """The limited dictionary and the TF-IDF matrix over it."""
+    words = limited_dictionary(spark, sf_dir)
+    return words, tfidf.tfidf_vectors(documents(spark, sf_dir), words, num_docs(spark, sf_dir))
+
+
+# Splitting
+
+
+def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as documents, turns as lines, cut beyond 500 bytes."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("doc_id"), "turn", "text"
+    )
+    return splitting.split_documents(turns, "turn", limit=500).select("doc_id", "turn", "segment")
+
+
+# Topics
+
+TOPICS = 4
+SWEEP = (1, 2, 4, 8)
+
+
+def lda_model(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, lda.TopicModel]:
+    words, vectors = vector_table(spark, sf_dir)
+    return words, lda.fit_lda(vectors, k, num_docs(spark, sf_dir))
+
+
+def lda_topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words, model = lda_model(spark, sf_dir, TOPICS)
+    return model.topic_terms(words)
+
+
+def lda_doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = lda_model(spark, sf_dir, TOPICS)
+    return lda.nested_doc_topics(model.doc_topics(documents(spark, sf_dir)))
+
+
+def doc_topics_with_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = lda_model(spark, sf_dir, TOPICS)
+    index = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    return lda.doc_topics_with_index(model.doc_topics(documents(spark, sf_dir)), index)
+
+
+def lda_k1_topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words, vectors = vector_table(spark, sf_dir)
+    return (
+        lda.single_topic(vectors)
+        .join(words.select("token_id", "token"), "token_id")
+        .select("topic_id", "token", F.round("weight", 9).alias("weight"))
+    )
+
+
+def lda_k1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = lda_model(spark, sf_dir, 1)
+    return model.log_perplexity().select("k", rounded("log_perplexity"))
+
+
+def lda_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = lda_model(spark, sf_dir, TOPICS)
+    return model.log_perplexity()
+
+
+def lda_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity for several topic counts, one cached matrix for all."""
+    _, vectors = vector_table(spark, sf_dir)
+    return lda.sweep_perplexity(lda.fit_sweep(vectors, SWEEP, num_docs(spark, sf_dir)))
+
+
+# Similarity
+
+DIMENSIONS = 50
+TERM_THRESHOLD = 0.7
+SPACE_THRESHOLD = 0.9
+
+
+def latent_space(spark: SparkSession, sf_dir: str) -> tuple[tfidf.VectorTable, lsi.LatentSpace]:
+    _, vectors = vector_table(spark, sf_dir)
+    return vectors, lsi.fit_lsi(vectors, num_docs(spark, sf_dir), DIMENSIONS)
+
+
+def lsi_singular_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, space = latent_space(spark, sf_dir)
+    return lsi.singular_values(spark, space)
+
+
+def lsi_doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsi.project(*latent_space(spark, sf_dir))
+
+
+def lsi_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, space = latent_space(spark, sf_dir)
+    groups = similarity.copy_groups(vectors.rows())
+    return similarity.similar_in_space(lsi.project(vectors, space), groups, SPACE_THRESHOLD).pairs
+
+
+def tfidf_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of distinct rows; with ``similarity_groups`` they cover all pairs."""
+    _, vectors = vector_table(spark, sf_dir)
+    pairs = similarity.similar_by_terms(vectors.rows(), TERM_THRESHOLD).pairs
+    return pairs.select("doc_a", "doc_b", rounded("score"))
+
+
+def similarity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, vectors = vector_table(spark, sf_dir)
+    return similarity.copy_groups(vectors.rows())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_documents": scan_documents,
     "document_index": document_index,
@@ -274,4 +391,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf": tfidf_weights,
     "tfidf_matrix": tfidf_matrix,
     "top_terms": top_terms,
+    "split_documents": split_documents,
+    "lda_topic_terms": lda_topic_terms,
+    "lda_doc_topics": lda_doc_topics,
+    "doc_topics_with_source": doc_topics_with_source,
+    "lda_k1_topic_terms": lda_k1_topic_terms,
+    "lda_k1_perplexity": lda_k1_perplexity,
+    "lda_perplexity": lda_perplexity,
+    "lda_sweep": lda_sweep,
+    "lsi_singular_values": lsi_singular_values,
+    "lsi_doc_vectors": lsi_doc_vectors,
+    "lsi_similarity": lsi_similarity,
+    "tfidf_similarity": tfidf_similarity,
+    "similarity_groups": similarity_groups,
 }

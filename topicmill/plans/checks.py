@@ -64,6 +64,21 @@ _TO_DICTIONARY = [*_TO_LIMITED, DICTIONARY]
 _TO_RAW = [*_TO_LIMITED, IDF, RAW]
 _TO_TFIDF = [*_TO_RAW, TFIDF]
 
+TOTALS = ("totals", "SELECT token, sum(weight) AS total FROM tfidf GROUP BY token")
+PRINTS = (
+    "prints",
+    "SELECT doc_id, list(token || ' ' || CAST(round(weight, 9) AS VARCHAR) ORDER BY token) AS print "
+    "FROM tfidf GROUP BY doc_id",
+)
+GROUPS = (
+    "groups",
+    "SELECT doc_id, min(doc_id) OVER (PARTITION BY print) AS group_id FROM prints",
+)
+FIRSTS = (
+    "firsts",
+    "SELECT tfidf.* FROM tfidf JOIN groups ON tfidf.doc_id = groups.group_id AND groups.doc_id = groups.group_id",
+)
+
 SQL: dict[str, str] = {
     "scan_documents": "SELECT doc_id, text FROM documents",
     "document_index": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_no, doc_id, "
@@ -152,4 +167,39 @@ SQL: dict[str, str] = {
         "SELECT doc_id, CAST(rank AS INTEGER) AS rank, token, round(weight, 6) AS weight FROM (SELECT *, row_number() OVER "
         "(PARTITION BY doc_id ORDER BY weight DESC, token) AS rank FROM tfidf) AS ranked WHERE rank <= 10",
     ),
+    "split_documents": """
+WITH RECURSIVE lines AS (
+    SELECT conv_id AS doc_id, turn, strlen(text) AS size,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n
+    FROM conversations
+), walk AS (
+    SELECT doc_id, turn, n, CAST(0 AS BIGINT) AS segment, CAST(size AS BIGINT) AS held FROM lines WHERE n = 1
+    UNION ALL
+    SELECT lines.doc_id, lines.turn, lines.n,
+        CASE WHEN walk.held > 500 THEN walk.segment + 1 ELSE walk.segment END,
+        CASE WHEN walk.held > 500 THEN lines.size ELSE walk.held + lines.size END
+    FROM walk JOIN lines ON lines.doc_id = walk.doc_id AND lines.n = walk.n + 1
+)
+SELECT doc_id, turn, segment FROM walk""",
+    "lda_k1_topic_terms": _with(
+        [*_TO_TFIDF, TOTALS],
+        "SELECT CAST(0 AS INTEGER) AS topic_id, token, round((1 + coalesce(total, 0)) / "
+        "((SELECT sum(total) FROM totals) + (SELECT count(*) FROM limited)), 9) AS weight "
+        "FROM limited LEFT JOIN totals USING (token)",
+    ),
+    "lda_k1_perplexity": _with(
+        [*_TO_TFIDF, TOTALS],
+        "SELECT CAST(1 AS INTEGER) AS k, round(-(sum(lgamma(1 + total)) + lgamma(any_value(v)) "
+        "- lgamma(sum(total) + any_value(v))) / sum(total), 6) AS log_perplexity "
+        "FROM totals, (SELECT CAST(count(*) AS DOUBLE) AS v FROM limited) AS vocabulary",
+    ),
+    "similarity_groups": _with(
+        [*_TO_TFIDF, PRINTS, GROUPS], "SELECT doc_id, group_id FROM groups"
+    ),
+    "tfidf_similarity": _with(
+        [*_TO_TFIDF, PRINTS, GROUPS, FIRSTS],
+        "SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, round(sum(a.weight * b.weight), 6) AS score "
+        "FROM firsts AS a JOIN firsts AS b ON a.token = b.token AND a.doc_id < b.doc_id "
+        "GROUP BY 1, 2 HAVING sum(a.weight * b.weight) >= 0.7",
+    ),
 }
