@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors, VectorUDT
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from topicmill.functions import defaults
@@ -122,16 +124,47 @@ def tfidf_vectors(
 def _vectors_by_lookup(
     docs: DataFrame, dictionary: DataFrame, num_docs: int, path: str | None
 ) -> VectorTable:
-    rows = fit_idf(dictionary, num_docs).orderBy("token_id").select("token", "idf").collect()
-    counter = CountVectorizerModel.from_vocabulary(
-        [r["token"] for r in rows], inputCol="tokens", outputCol="counts"
+    words = fit_idf(dictionary, num_docs).orderBy("token_id").select("token", "idf").toArrow()
+    tokens = pa.array(words["token"].to_pylist(), pa.string())
+    shared = docs.sparkSession.sparkContext.broadcast((tokens, np.asarray(words["idf"])))
+    rows = tokenize(docs).mapInArrow(
+        lambda batches: _weigh(batches, shared),
+        T.StructType(
+            [
+                docs.schema["doc_id"],
+                T.StructField("indices", T.ArrayType(T.IntegerType())),
+                T.StructField("values", T.ArrayType(T.DoubleType())),
+            ]
+        ),
     )
-    weigh = ElementwiseProduct(
-        scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="counts", outputCol="raw"
-    )
-    scale = Normalizer(p=2.0, inputCol="raw", outputCol="features")
-    vectors = scale.transform(weigh.transform(counter.transform(tokenize(docs))))
-    return _write(vectors.select("doc_id", "features"), len(rows), path)
+    return _write(_stored(rows, len(tokens)), len(tokens), path)
+
+
+def _weigh(batches, shared):
+    """Look up, count, weigh and scale the tokens of each document."""
+    tokens, idf = shared.value
+    for batch in batches:
+        column = batch.column("tokens")
+        found = pc.index_in(column.flatten(), value_set=tokens)
+        doc = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(column.offsets)))
+        known = np.asarray(found.is_valid())
+        place = (doc[known] << 32) | np.asarray(found.drop_null()).astype(np.int64)
+        entries, counts = np.unique(place, return_counts=True)
+        doc, word = entries >> 32, entries & 0xFFFFFFFF
+        weight = counts * idf[word]
+        length = np.sqrt(np.bincount(doc, weight * weight, minlength=batch.num_rows))
+        weight = weight / np.where(length[doc] > 0, length[doc], 1.0)
+        kept = np.abs(weight) > defaults.WEIGHT_EPSILON
+        sizes = np.bincount(doc[kept], minlength=batch.num_rows)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.ListArray.from_arrays(offsets, pa.array(word[kept].astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, pa.array(weight[kept])),
+            ],
+            ["doc_id", "indices", "values"],
+        )
 
 
 def vectors_from_bow(
@@ -148,14 +181,19 @@ def vectors_from_bow(
 def vectors_from_weights(weights: DataFrame, size: int, path: str | None = None) -> VectorTable:
     """The same table from ``(doc_id, token_id, weight)``."""
     entry = F.struct(F.col("token_id").cast("int").alias("i"), F.col("weight").alias("w"))
-    packed = weights.groupBy("doc_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    features = F.struct(
-        F.lit(0).cast("tinyint").alias("type"),
-        F.lit(size).cast("int").alias("size"),
-        F.col("entries.i").alias("indices"),
-        F.col("entries.w").alias("values"),
+    rows = (
+        weights.groupBy("doc_id")
+        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+        .select("doc_id", F.col("entries.i").alias("indices"), F.col("entries.w").alias("values"))
     )
-    return _write(packed.select("doc_id", features.alias("features")), size, path)
+    return _write(_stored(rows, size), size, path)
+
+
+def _stored(rows: DataFrame, size: int) -> DataFrame:
+    """The struct a sparse vector column is stored as."""
+    kind = F.lit(0).cast("tinyint").alias("type")
+    length = F.lit(size).cast("int").alias("size")
+    return rows.select("doc_id", F.struct(kind, length, "indices", "values").alias("features"))
 
 
 def _write(vectors: DataFrame, size: int, path: str | None) -> VectorTable:
