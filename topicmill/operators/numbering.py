@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from itertools import accumulate
+
+from pyspark.sql import DataFrame, functions as F
 
 from topicmill.session import staged
 
@@ -22,17 +24,11 @@ def number_by(df: DataFrame, key: str, number: str, first: int = 0) -> DataFrame
         .withColumn("_place", F.monotonically_increasing_id()),
         "numbered",
     )
+    # One row per range partition comes to the driver and goes back as a literal.
+    # A join instead would hide from Spark how small a dictionary is.
     part = F.shiftright("_place", _ROW_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    # One row per range partition, so this window stays small.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
-    )
+    sizes = dict(placed.groupBy(part).agg(F.count(F.lit(1))).collect())
+    before = list(accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)), initial=first))
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(starts, "_part")
-        .withColumn(number, F.col("_start") + row + F.lit(first))
-        .drop("_part", "_place", "_start")
-    )
+    starts = F.array(*[F.lit(n).cast("bigint") for n in before])
+    return placed.withColumn(number, F.get(starts, part.cast("int")) + row).drop("_place")

@@ -74,17 +74,23 @@ def num_docs(spark: SparkSession, sf_dir: str) -> int:
 
 
 def limited_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(token, df, cf)`` within the frequency limits."""
+    """``(token, df, cf)`` within the frequency limits, unordered and lazy."""
     terms = counts.term_statistics(bow(spark, sf_dir))
     return dictionary.filter_extremes(terms, num_docs(spark, sf_dir), NO_BELOW, NO_ABOVE)
 
 
+def written_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written first: with its size known, a small dictionary is
+    broadcast and the bag of words is not shuffled to meet it."""
+    return staged(limited_terms(spark, sf_dir), "terms")
+
+
 def limited_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary.renumber(limited_terms(spark, sf_dir))
 
 
 def idf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tfidf.fit_idf(limited_terms(spark, sf_dir), num_docs(spark, sf_dir))
+    return tfidf.fit_idf(written_terms(spark, sf_dir), num_docs(spark, sf_dir))
 
 
 def rounded(column: str) -> Column:
@@ -217,7 +223,7 @@ def doc2bow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oov_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.unknown_counts(bow(spark, sf_dir), limited_terms(spark, sf_dir))
+    return counts.unknown_counts(bow(spark, sf_dir), written_terms(spark, sf_dir))
 
 
 def union_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
