@@ -38,7 +38,7 @@ def filter_extremes(
     in_range = F.col("df").between(no_below, upper_limit(no_above, num_docs))
     if keep is None:
         return terms.filter(in_range)
-    marked = keep.select(F.col("word").alias("token"), F.lit(True).alias("_kept"))
+    marked = keep.select(F.col("word").alias("token"), F.lit(True).alias("_kept")).distinct()
     return (
         terms.join(marked, "token", "left")
         .filter(in_range | F.col("_kept"))

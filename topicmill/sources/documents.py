@@ -164,10 +164,19 @@ def read_lines(spark: SparkSession, paths: str | list[str], name_glob: str | Non
     )
 
 
-def folder_corpus(spark: SparkSession, folder: str, name_glob: str | None = None) -> TextCorpus:
-    """Every file below ``folder`` is a document; its path is the id."""
+def _index(paths: DataFrame, check: bool) -> DataFrame:
+    if check:
+        return staged(read_errors(paths), "index")
+    return paths.select("doc_id", F.lit(None).cast("boolean").alias("read_error"))
+
+
+def folder_corpus(
+    spark: SparkSession, folder: str, name_glob: str | None = None, check: bool = True
+) -> TextCorpus:
+    """Every file below ``folder`` is a document; its path is the id. ``check``
+    reads each file once more to flag damaged ones; without it the flag is null."""
     paths = list_files(spark, folder, name_glob)
-    return TextCorpus(read_lines(spark, folder, name_glob), staged(read_errors(paths), "index"))
+    return TextCorpus(read_lines(spark, folder, name_glob), _index(paths, check))
 
 
 def _existing(batches):
@@ -179,7 +188,9 @@ def _existing(batches):
         yield batch[found]
 
 
-def manifest_corpus(spark: SparkSession, manifest: str, root: str | None = None) -> TextCorpus:
+def manifest_corpus(
+    spark: SparkSession, manifest: str, root: str | None = None, check: bool = True
+) -> TextCorpus:
     """The files named in ``manifest``.
 
     With ``root``, a folder that holds them all, the paths stay in a table: the
@@ -187,7 +198,7 @@ def manifest_corpus(spark: SparkSession, manifest: str, root: str | None = None)
     Without it the reader is given the paths, up to ``MANIFEST_PATHS`` of them.
     """
     paths = manifest_paths(spark, manifest)
-    index = staged(read_errors(paths), "index")
+    index = _index(paths, check)
     if root is not None:
         lines = read_lines(spark, root).join(paths, "doc_id", "left_semi")
         return TextCorpus(lines, index)
