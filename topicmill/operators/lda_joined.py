@@ -1,0 +1,173 @@
+"""LDA for vocabularies whose topic matrix is too large for one machine.
+
+The same online variational Bayes as Spark ML's, with the topic matrix as a
+table ``(token_id, vector)`` of ``k`` numbers per word: each update joins the
+words of its documents with their rows, infers the documents in the tasks and
+sums the results by word.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
+
+from topicmill.functions import defaults
+from topicmill.functions.gammas import expected_log, lgamma
+from topicmill.operators.lsi import list_column, sum_vectors
+from topicmill.operators.tfidf import VectorTable
+from topicmill.session import staged
+
+# When inference of a document stops, and the prior of the start.
+CONVERGED, MOST_ROUNDS = 1e-3, 100
+START_SHAPE = 100.0
+_SCALE = 1 << 20
+_TERMS = "token_id int, vector array<double>"
+
+
+def _vectors(column) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(len(column), -1)
+
+
+def _start_batches(batches, k: int, seed: int):
+    for batch in batches:
+        ids = batch.column("token_id")
+        rows = [np.random.default_rng([seed, int(i)]).gamma(START_SHAPE, 1 / START_SHAPE, k) for i in np.asarray(ids)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([ids, list_column(np.stack(rows))], ["token_id", "vector"])
+
+
+def _log_batches(batches, sums: np.ndarray):
+    """Expected log weight of each word in each topic, from the topics' sums."""
+    for batch in batches:
+        if batch.num_rows:
+            both = expected_log(_vectors(batch.column("vector")), sums)
+            yield pa.RecordBatch.from_arrays([batch.column("token_id"), list_column(both)], ["token_id", "vector"])
+
+
+def _infer_batches(batches, alpha: float):
+    """For each document its topics, the counts it gives to each word and topic,
+    and its part in the bound."""
+    for batch in batches:
+        offsets = np.asarray(batch.column("entries").offsets)
+        entries = batch.column("entries").values
+        ids, weights = np.asarray(entries.field("token_id")), np.asarray(entries.field("weight"))
+        logs = _vectors(entries.field("vector"))
+        k = logs.shape[1] if len(logs) else 0
+        gammas, bounds, given = [], [], np.zeros_like(logs)
+        for first, last in zip(offsets[:-1], offsets[1:]):
+            n, words = weights[first:last], np.exp(logs[first:last])
+            gamma = np.full(k, alpha + n.sum() / k)
+            for _ in range(MOST_ROUNDS):
+                topics = expected_log(gamma, gamma.sum())
+                share = np.exp(topics)
+                norm = words @ share + 1e-100
+                old, gamma = gamma, alpha + share * ((n / norm) @ words)
+                if np.abs(gamma - old).mean() < CONVERGED:
+                    break
+            topics = expected_log(gamma, gamma.sum())
+            share = np.exp(topics)
+            norm = words @ share + 1e-100
+            given[first:last] = (n / norm)[:, None] * words * share
+            bound = n @ np.log(norm) + ((alpha - gamma) * topics + lgamma(gamma)).sum()
+            bound += float(lgamma(np.array(alpha * k)) - k * lgamma(np.array(alpha)) - lgamma(gamma.sum()))
+            gammas.append(gamma / gamma.sum())
+            bounds.append(bound)
+        if not gammas:
+            continue
+        lists = [pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), v) for v in (pa.array(ids), list_column(given))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), list_column(np.stack(gammas)), pa.array(bounds), *lists],
+            ["doc_id", "shares", "bound", "ids", "given"],
+        )
+
+
+def _sums(terms: DataFrame) -> np.ndarray:
+    """The ``k`` sums over all words."""
+    one = sum_vectors(terms.select(F.lit(0).alias("all"), "vector"), "all")
+    return np.asarray(one.first()["vector"])
+
+
+@dataclass(frozen=True)
+class JoinedTopicModel:
+    """``terms`` is ``(token_id, vector)``; the methods are those of TopicModel."""
+
+    k: int
+    table: VectorTable
+    terms: DataFrame
+
+    def inferred(self, entries: DataFrame) -> DataFrame:
+        sums = _sums(self.terms)
+        logs = self.terms.mapInArrow(lambda batches: _log_batches(batches, sums), _TERMS)
+        entry = F.struct("token_id", "weight", "vector")
+        docs = entries.join(logs, "token_id").groupBy("doc_id").agg(F.collect_list(entry).alias("entries"))
+        alpha = 1.0 / self.k
+        doc_id = entries.schema["doc_id"].dataType.simpleString()
+        return docs.mapInArrow(
+            lambda batches: _infer_batches(batches, alpha),
+            f"doc_id {doc_id}, shares array<double>, bound double, ids array<int>, given array<array<double>>",
+        )
+
+    def topic_terms(self, dictionary: DataFrame, n: int = defaults.TERMS_PER_TOPIC) -> DataFrame:
+        sums = F.lit([float(s) for s in _sums(self.terms)])
+        shares = self.terms.select("token_id", F.posexplode("vector").alias("topic_id", "weight"))
+        shares = shares.withColumn("weight", F.col("weight") / F.get(sums, F.col("topic_id")))
+        order = Window.partitionBy("topic_id").orderBy(F.desc("weight"), "token_id")
+        best = shares.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+        return best.join(dictionary.select("token_id", "token"), "token_id").select(
+            F.lit(self.k).alias("k"), "topic_id", "rank", "token", "weight"
+        )
+
+    def doc_topics(self, docs: DataFrame, min_weight: float = defaults.MIN_TOPIC_WEIGHT) -> DataFrame:
+        prior = F.array_repeat(F.lit(1.0 / self.k), self.k)
+        known = self.inferred(self.table.entries()).select("doc_id", "shares")
+        shares = docs.select("doc_id").join(known, "doc_id", "left").select(
+            "doc_id", F.posexplode(F.coalesce("shares", prior)).alias("topic_id", "weight")
+        )
+        return shares.select(F.lit(self.k).alias("k"), "*").filter(F.col("weight") >= min_weight)
+
+    def log_perplexity(self) -> DataFrame:
+        entries = self.table.entries()
+        mass = entries.agg(F.sum("weight")).first()[0]
+        bound = self.inferred(entries).agg(F.sum("bound")).first()[0]
+        sums, eta, size = _sums(self.terms), 1.0 / self.k, self.table.size
+
+        def parts(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    rows = _vectors(batch.column("vector"))
+                    part = (eta - rows) * expected_log(rows, sums) + lgamma(rows) - lgamma(np.array(eta))
+                    yield pa.RecordBatch.from_arrays([pa.array([float(part.sum())])], ["bound"])
+
+        bound += self.terms.mapInArrow(parts, "bound double").agg(F.sum("bound")).first()[0]
+        bound += float((lgamma(np.array(eta * size)) - lgamma(sums)).sum())
+        return self.table.spark.createDataFrame([(self.k, -bound / mass)], "k int, log_perplexity double")
+
+
+def fit_joined(
+    table: VectorTable, k: int, share: float, updates: int, offset: float, decay: float, seed: int
+) -> JoinedTopicModel:
+    spark = table.spark
+    words = spark.range(table.size).select(F.col("id").cast("int").alias("token_id"))
+    terms = staged(words.mapInArrow(lambda batches: _start_batches(batches, k, seed), _TERMS), "topics")
+    entries, eta = table.entries(), 1.0 / k
+    for update in range(updates):
+        draw = F.pmod(F.xxhash64("doc_id", F.lit(seed), F.lit(update)), F.lit(_SCALE))
+        batch = entries.filter(draw < F.lit(int(share * _SCALE)))
+        inferred = JoinedTopicModel(k, table, terms).inferred(batch)
+        pairs = F.arrays_zip(F.col("ids").alias("token_id"), F.col("given").alias("vector"))
+        counts = sum_vectors(inferred.select(F.inline(pairs)), "token_id")
+        rate = (offset + update + 1) ** -decay
+        fresh = F.coalesce(F.col("given"), F.array_repeat(F.lit(0.0), k))
+        mixed = F.zip_with(
+            "vector", fresh, lambda old, new: old * (1 - rate) + (new / share + eta) * rate
+        )
+        terms = staged(
+            terms.join(counts.withColumnRenamed("vector", "given"), "token_id", "left").select(
+                "token_id", mixed.alias("vector")
+            ),
+            "topics",
+        )
+    return JoinedTopicModel(k, table, terms)

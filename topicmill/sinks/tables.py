@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from topicmill.operators.lda import TopicModel
+from topicmill.operators.lda_joined import JoinedTopicModel
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -25,7 +26,9 @@ def write_dictionary(folder: str, name: str, terms: DataFrame, stats: DataFrame)
     return write_table(terms, f"{folder}/{name}")
 
 
-def write_topic_model(model: TopicModel, path: str) -> None:
+def write_topic_model(model: TopicModel | JoinedTopicModel, path: str) -> None:
     """One topic has no model to save: its word table says everything."""
-    if model.model is not None:
+    if isinstance(model, JoinedTopicModel):
+        write_table(model.terms, path)
+    elif model.model is not None:
         model.model.write().overwrite().save(path)
