@@ -47,7 +47,6 @@ def test_similarity_of_text_files(spark, tmp_path):
     groups = {os.path.basename(d): os.path.basename(g) for d, g in rows(result["groups"], "doc_id", "group_id")}
     assert groups == {"a.txt": "a.txt", "b.txt": "b.txt", "c.txt": "a.txt"}
     assert result["pairs"].count() == 1
-    assert result["index"].count() == 4 if "index" in result else True
 
 
 def test_matrix_market(spark, tiny, tmp_path):

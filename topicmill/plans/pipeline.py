@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from topicmill.functions import defaults
 from topicmill.operators import corpus, counts, dictionary, lda, lsi, similarity, tfidf
 from topicmill.sinks import reports, tables
-from topicmill.sources import wordlists
 from topicmill.sources.documents import TextCorpus, table_index
 from topicmill.sources.stages import saved_table, saved_vectors
 
