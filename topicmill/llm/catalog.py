@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from topicmill.llm import lengths, packing
+from topicmill.llm import byte_bpe, lengths, packing
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
+BYTE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_FILE)).drop("piece_ids")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return byte_bpe.round_trip(docs, public_tokenizers.path(BYTE_FILE), public_tokenizers.PATTERN)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return lengths.context_limits(lengths.encoded_lengths(docs, public_tokenizers.path(WORD_FILE)))
@@ -23,6 +29,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_token_counts": op9_token_counts,
 }
 
