@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from topicmill.llm import byte_bpe, lengths, packing
+from topicmill.llm import byte_bpe, lengths, packing, toxicity
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
@@ -22,6 +23,15 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path(BYTE_FILE), public_tokenizers.PATTERN)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    score = F.col("toxicity_score")
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return lengths.context_limits(lengths.encoded_lengths(docs, public_tokenizers.path(WORD_FILE)))
@@ -30,6 +40,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_packing": op3_packing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_toxicity": op7_toxicity,
     "op9_token_counts": op9_token_counts,
 }
 
