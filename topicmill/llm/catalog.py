@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import byte_bpe, lengths, packing, toxicity
+from topicmill.llm import byte_bpe, lengths, packing, simhash, toxicity
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
@@ -18,6 +18,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_FILE)).drop("piece_ids")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = simhash.near_duplicates(docs, shingle=4, bits=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return byte_bpe.round_trip(docs, public_tokenizers.path(BYTE_FILE), public_tokenizers.PATTERN)
@@ -39,6 +45,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op5_simhash": op5_simhash,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
     "op9_token_counts": op9_token_counts,

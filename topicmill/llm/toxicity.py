@@ -186,7 +186,7 @@ def train(texts: list[str], labels: list[int], settings: Settings) -> Model:
     best = np.array([rng.choice(np.flatnonzero(owner == i)) for i in range(len(texts))])
     steps_a_round = -(-len(texts) // settings.batch)
     for turn in range(max(settings.rounds, -(-settings.least_steps // steps_a_round))):
-        if turn:
+        if turn * steps_a_round // 50 > (turn - 1) * steps_a_round // 50:
             best = _best(_logits(weights, ids, word_ids, grams), owner, len(texts))
         order = rng.permutation(len(texts))
         for at in range(0, len(order), settings.batch):
