@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import byte_bpe, lengths, packing, simhash, toxicity
+from topicmill.llm import byte_bpe, lengths, packing, simhash, suffix_dedup, toxicity
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
 BYTE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents", "doc_id", "text"), length=100)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, public_tokenizers.path(WORD_FILE)).drop("piece_ids")
@@ -44,6 +48,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op5_simhash": op5_simhash,
     "op6_byte_bpe": op6_byte_bpe,

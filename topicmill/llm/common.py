@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicmill.session import staged
@@ -37,7 +37,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     so paths shorten geometrically. A round is two aggregations and joins by node;
     it ends when no edge changes. Every round is written to the shared folder.
     """
-    edges = staged(_ordered(edges.select("a", "b")), f"{name}-edges")
+    edges = written(_ordered(edges.select("a", "b")), f"{name}-edges")
     seen = None
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -47,7 +47,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         # small star: each node's smaller neighbours join its smallest neighbour
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
-        edges = staged(_ordered(small.select("e.a", F.col("e.m").alias("b"))), f"{name}-edges")
+        edges = written(_ordered(small.select("e.a", F.col("e.m").alias("b"))), f"{name}-edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
@@ -59,3 +59,31 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def _ordered(edges: DataFrame) -> DataFrame:
     """Each edge once, from its larger to its smaller node; loops go."""
     return edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+#: Removes the shuffle files of a write when it ends; what it wrote is in the shared folder.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``staged``, and the write's own shuffle files go at its end."""
+    conf = df.sparkSession.conf
+    before = conf.get(FILE_CLEANUP, "false")
+    conf.set(FILE_CLEANUP, "true")
+    try:
+        return staged(df, name)
+    finally:
+        conf.set(FILE_CLEANUP, before)
+
+
+#: Stands for a null id where rows are compared by id: before all others.
+NO_ID = -(2**63)
+
+
+def row_id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+
+
+def row_key() -> Column:
+    """With the id it tells rows apart; rows with equal id and text are the same document read twice."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))

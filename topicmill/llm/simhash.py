@@ -15,10 +15,10 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicmill.llm.common import components, text_bytes
+from topicmill.llm.common import components, row_key, text_bytes
 from topicmill.llm.word_tokens import texts_of
 from topicmill.session import staged
 
@@ -73,10 +73,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(doc_id.alias("doc_id"), text.alias("text"), row_key().alias("row_key"))
 
 
-def row_key() -> Column:
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
 def _distance(a: np.ndarray, b) -> np.ndarray:
     return np.bitwise_count(a ^ b).astype(np.int64)
 
