@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import byte_bpe, lengths, packing, simhash, suffix_dedup, toxicity
+from topicmill.llm import byte_bpe, lengths, packing, simhash, substring_dedup, suffix_dedup, toxicity
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
@@ -42,6 +42,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents", "doc_id", "text"), window=35)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return lengths.context_limits(lengths.encoded_lengths(docs, public_tokenizers.path(WORD_FILE)))
@@ -53,6 +57,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
