@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import byte_bpe, lengths, packing, simhash, substring_dedup, suffix_dedup, toxicity
+from topicmill.llm import byte_bpe, lengths, packing, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
@@ -51,6 +51,20 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.context_limits(lengths.encoded_lengths(docs, public_tokenizers.path(WORD_FILE)))
 
 
+#: Rules of the URL query: verdict, host and path.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES).drop("score")
+
+
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
@@ -59,6 +73,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_url_filter": op10_url_filter,
 }
 
 SQL: dict[str, str] = {}
