@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import byte_bpe, lengths, packing, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from topicmill.llm import byte_bpe, lengths, packing, pivot_search, projected_search, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
 BYTE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_topk_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_products(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), step=20, k=20)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents", "doc_id", "text"), length=100)
 
@@ -22,6 +26,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_FILE)).drop("piece_ids")
 
 
+def op4_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_search.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), step=50, k=5)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = simhash.near_duplicates(docs, shingle=4, bits=4)
@@ -66,8 +74,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_products": op1_topk_products,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
+    "op4_projected_neighbours": op4_projected_neighbours,
     "op5_simhash": op5_simhash,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,

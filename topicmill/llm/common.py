@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
+import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +90,18 @@ def row_id() -> Column:
 def row_key() -> Column:
     """With the id it tells rows apart; rows with equal id and text are the same document read twice."""
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+class Sent:
+    """A bounded object for all tasks, sent once to each executor and kept once in each worker.
+
+    It travels by value, classes of this package too, so executors need no copy of it.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._key = f"sent {uuid.uuid4()}"
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        return worker_state(self._key, lambda: pickle.loads(self._bytes.value))

@@ -10,7 +10,6 @@ It is trained in numpy on the driver from a bounded sample of labelled documents
 from __future__ import annotations
 
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicmill.llm.common import worker_state
+from topicmill.llm.common import Sent
 from topicmill.llm.word_tokens import texts_of
 
 #: Words of at most this many letters; longer ones are read in parts.
@@ -332,11 +331,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None = Non
     texts, marks = sample(docs, labels, settings)
     if len(set(marks)) < 2:
         return docs.withColumn("toxicity_score", F.lit(0.0))
-    sent = docs.sparkSession.sparkContext.broadcast(train(texts, marks, settings))
-    key = f"toxicity {uuid.uuid4()}"
+    sent = Sent(docs.sparkSession, Scorer(train(texts, marks, settings)))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = worker_state(key, lambda: Scorer(sent.value))
+        scorer = sent.value
         for batch in batches:
             found: list[float] = []
             for at in range(0, len(batch), 128):
