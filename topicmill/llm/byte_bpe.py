@@ -18,9 +18,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from topicmill.llm.common import worker_state
+from topicmill.llm.common import named, row_id, texts, worker_state
 from topicmill.llm.word_tokens import texts_of
 
 #: Pieces a worker remembers before it starts anew, and the longest of them in bytes.
@@ -207,10 +206,6 @@ def _encoded(batch: pd.DataFrame, coder: ByteBpe) -> Iterator[tuple]:
             yield doc_id, np.frombuffer(ids, "<u4").tolist()
 
 
-def _source(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id``, ``ids``: the token ids of each whole text.
 
@@ -222,9 +217,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         coder = _coder(path, pattern)
         for batch in batches:
             ids = [ids for _, ids in _encoded(batch, coder)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids})
 
-    return _source(docs).mapInPandas(run, "doc_id long, ids array<int>")
+    return named(texts(docs).mapInPandas(run, "doc_id long, ids array<int>"))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -234,9 +229,10 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         coder = _coder(path, pattern)
         for batch in batches:
             decoded = [coder.decode([] if ids is None else list(ids)) for ids in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "bytes": decoded})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "bytes": decoded})
 
-    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInPandas(run, "doc_id long, bytes binary")
+    source = encoded.select(row_id().alias("doc_id"), "ids")
+    return named(source.mapInPandas(run, "doc_id long, bytes binary"))
 
 
 ROUND_TRIP = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -259,8 +255,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for doc_id, ids in _encoded(batch, coder):
                 named = hashlib.sha256(b",".join(map(decimal.__getitem__, ids))).hexdigest()
                 rows.append((doc_id, len(ids), named, hashlib.sha256(coder.decode(ids)).hexdigest()))
-            frame = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _source(docs).mapInPandas(run, ROUND_TRIP)
+    return named(texts(docs).mapInPandas(run, ROUND_TRIP))

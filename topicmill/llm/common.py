@@ -87,6 +87,24 @@ def row_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
 
 
+def named(rows: DataFrame) -> DataFrame:
+    """``rows`` with the stand-in in ``doc_id`` made null again."""
+    return rows.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """``doc_id``, with the stand-in for null, and ``text`` alone; so ids stay whole numbers in tasks."""
+    return docs.select(row_id().alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key() -> Column:
     """With the id it tells rows apart; rows with equal id and text are the same document read twice."""
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))

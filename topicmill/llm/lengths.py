@@ -8,8 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicmill.llm.common import named, texts, written
 from topicmill.llm.word_tokens import texts_of, word_tokenizer
-from topicmill.session import staged
 
 #: Lengths that one block of the suffix sums covers.
 BLOCK = 1024
@@ -24,10 +24,9 @@ def encoded_lengths(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             counts = []
             for at in range(0, len(batch), 256):
                 counts += [len(ids) // 4 for ids in tokenizer.encode_all(texts_of(batch["text"].iloc[at : at + 256]))]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "tokens": counts})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": counts})
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInPandas(run, "doc_id long, tokens long")
+    return named(texts(docs).mapInPandas(run, "doc_id long, tokens long"))
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
@@ -48,7 +47,7 @@ def context_limits(lengths: DataFrame) -> DataFrame:
     Suffix sums are taken inside blocks of ``BLOCK`` lengths, then over block totals,
     whose number only grows with the longest document.
     """
-    counts = staged(histogram(lengths).withColumn("block", F.floor(F.col("tokens") / BLOCK)), "lengths")
+    counts = written(histogram(lengths).withColumn("block", F.floor(F.col("tokens") / BLOCK)), "lengths")
     blocks = counts.groupBy("block").agg(F.sum("docs").alias("d"), F.sum(F.col("docs") * F.col("tokens")).alias("t"))
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     totals = blocks.select(

@@ -16,8 +16,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from topicmill.llm.common import named, texts
 from topicmill.llm.word_tokens import WordTokenizer, texts_of, word_tokenizer
 
 PIECES = (
@@ -122,7 +122,7 @@ def pack(
         rows.extend(bins.close())
         yield _frame(rows)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, PIECES)
+    return named(texts(docs).mapInPandas(run, PIECES))
 
 
 def encoded(batch: pd.DataFrame, tokenizer: WordTokenizer) -> Iterator[tuple]:
@@ -134,6 +134,4 @@ def encoded(batch: pd.DataFrame, tokenizer: WordTokenizer) -> Iterator[tuple]:
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     names = [column.split()[0] for column in PIECES.split(", ")]
-    frame = pd.DataFrame(rows, columns=names)
-    frame["doc_id"] = frame["doc_id"].astype("Int64")
-    return frame
+    return pd.DataFrame(rows, columns=names)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicmill.llm import winnowing
-from topicmill.llm.common import row_id, row_key, text_bytes, worker_state, written
+from topicmill.llm.common import free_name, named, row_id, row_key, text_bytes, worker_state, written
 from topicmill.llm.suffix_dedup import RUN_BITS, repeated_anchors, runs_of, with_spans
 from topicmill.llm.word_tokens import texts_of
 
@@ -183,22 +183,21 @@ def digests(docs: DataFrame, window: int = 35) -> DataFrame:
     Cases as in ``repeated_spans``; repeated rows give a row each, an empty table none;
     other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = with_spans(docs, repeated_spans(docs, window)).select("doc_id", "text", "_spans")
+    joined = with_spans(docs.select("doc_id", "text"), repeated_spans(docs, window), "spans")
+    joined = joined.select(row_id().alias("doc_id"), F.col("text").cast("string").alias("text"), "spans")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text, spans in zip(texts_of(batch["text"]), batch["_spans"]):
+            for text, spans in zip(texts_of(batch["text"]), batch["spans"]):
                 words, runs = text_bytes(text).split(), runs_of(spans)
                 kept = kept_words(words, runs) if runs else words
                 rows.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             frame = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
-            frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
+            frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield frame
 
-    return joined.mapInPandas(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return named(joined.mapInPandas(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
 
 
 def deduplicated(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -214,5 +213,6 @@ def deduplicated(docs: DataFrame, window: int = 35) -> DataFrame:
             found.append(b" ".join(kept_words(text_bytes(text).split(), runs)).decode() if runs else text)
         return pd.Series(found, dtype="object")
 
-    trim: Column = F.pandas_udf(cut, "string")(F.col("text").cast("string"), F.col("_spans"))
-    return with_spans(docs, repeated_spans(docs, window)).withColumn("text", trim).drop("_spans")
+    spans = free_name(docs, "spans")
+    trim: Column = F.pandas_udf(cut, "string")(F.col("text").cast("string"), F.col(spans))
+    return with_spans(docs, repeated_spans(docs, window), spans).withColumn("text", trim).drop(spans)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicmill.llm import winnowing
-from topicmill.llm.common import row_id, row_key, text_bytes, written
+from topicmill.llm.common import free_name, named, row_id, row_key, text_bytes, written
 from topicmill.llm.word_tokens import texts_of
 
 GRAM = 16
@@ -263,11 +263,12 @@ def _merged(passages: DataFrame, length: int) -> DataFrame:
     return sliced.groupBy("slice").applyInPandas(run, "id long, row_key long, span long")
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with the packed ``_spans`` of each row, null where nothing is removed."""
-    keyed = docs.withColumn("_id", row_id()).withColumn("_row_key", row_key())
-    found = spans.select(F.col("id").alias("_id"), F.col("row_key").alias("_row_key"), F.col("spans").alias("_spans"))
-    return keyed.join(found, ["_id", "_row_key"], "left").drop("_id", "_row_key")
+def with_spans(docs: DataFrame, spans: DataFrame, column: str) -> DataFrame:
+    """``docs`` with the packed spans of each row in ``column``, null where nothing is removed."""
+    number, key = free_name(docs, "id"), free_name(docs, "row_key")
+    keyed = docs.withColumn(number, row_id()).withColumn(key, row_key())
+    found = spans.select(F.col("id").alias(number), F.col("row_key").alias(key), F.col("spans").alias(column))
+    return keyed.join(found, [number, key], "left").select(*docs.columns, column)
 
 
 def runs_of(spans: np.ndarray | None) -> list[tuple[int, int]]:
@@ -291,23 +292,22 @@ def digests(docs: DataFrame, length: int = 100, shard_rows: int = 8192) -> DataF
 
     Cases as in ``removed_spans``; repeated rows give a row each, an empty table none.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = with_spans(docs, removed_spans(docs, length, shard_rows)).select("doc_id", "text", "_spans")
+    joined = with_spans(docs.select("doc_id", "text"), removed_spans(docs, length, shard_rows), "spans")
+    joined = joined.select(row_id().alias("doc_id"), F.col("text").cast("string").alias("text"), "spans")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text, spans in zip(texts_of(batch["text"]), batch["_spans"]):
+            for text, spans in zip(texts_of(batch["text"]), batch["spans"]):
                 data, runs = text_bytes(text), runs_of(spans)
                 gone = sum(b - a for a, b in runs)
                 rows.append((len(data), gone, len(runs), hashlib.sha256(kept_bytes(data, runs)).hexdigest()))
             frame = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-            frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
+            frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield frame
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return joined.mapInPandas(run, schema)
+    return named(joined.mapInPandas(run, schema))
 
 
 def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -324,5 +324,6 @@ def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
             kept.append(kept_bytes(text_bytes(text), runs).decode("utf-8", "ignore") if runs else text)
         return pd.Series(kept, dtype="object")
 
-    trim: Column = F.pandas_udf(cut, "string")(F.col("text").cast("string"), F.col("_spans"))
-    return with_spans(docs, removed_spans(docs, length)).withColumn("text", trim).drop("_spans")
+    spans = free_name(docs, "spans")
+    trim: Column = F.pandas_udf(cut, "string")(F.col("text").cast("string"), F.col(spans))
+    return with_spans(docs, removed_spans(docs, length), spans).withColumn("text", trim).drop(spans)

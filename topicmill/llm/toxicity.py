@@ -319,8 +319,10 @@ def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list
     return [r["text"] or "" for r in collected], [int(r["toxic"]) for r in collected]
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """The columns of ``docs`` with ``toxicity_score`` (0 to 1) for every row.
+def toxicity(
+    docs: DataFrame, labels: DataFrame, settings: Settings | None = None, column: str = "toxicity_score"
+) -> DataFrame:
+    """The columns of ``docs`` with the score (0 to 1) of every row in ``column``, which may not exist before.
 
     A text without words, a null one too, scores the share of toxic texts in the training
     sample, or 0.49 if that is higher. Texts are read whole.
@@ -330,7 +332,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None = Non
     settings = settings or Settings()
     texts, marks = sample(docs, labels, settings)
     if len(set(marks)) < 2:
-        return docs.withColumn("toxicity_score", F.lit(0.0))
+        return docs.withColumn(column, F.lit(0.0))
     sent = Sent(docs.sparkSession, Scorer(train(texts, marks, settings)))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -342,7 +344,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None = Non
             yield pd.Series(found, dtype="float64")
 
     score = F.pandas_udf(run, "double")
-    return docs.withColumn("toxicity_score", score(F.col("text").cast("string")))
+    return docs.withColumn(column, score(F.col("text").cast("string")))
 
 
 def held_out() -> Column:
