@@ -18,12 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicmill.llm.common import components, row_key, text_bytes
+from topicmill.llm.common import components, free_name, named, row_id, row_key, text_bytes, written
 from topicmill.llm.word_tokens import texts_of
-from topicmill.session import staged
 
-#: Nodes that a shard should hold, and the most shards that a tree may have; bounds the tree that is sent.
-SHARD_NODES = 2048
+#: Nodes that a shard should hold at most, shards that a tree has where there are nodes for them, and
+#: its most shards; the last bounds the tree that is sent. Fewer shards mean fewer visits.
+SHARD_NODES = 65_536
+LEAST_SHARDS = 32
 MOST_SHARDS = 4096
 #: Nodes that the shared tree is built on at most.
 SAMPLE = 65_536
@@ -59,18 +60,14 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             values = [fingerprint(t, shingle) for t in texts_of(batch["text"])]
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"].astype("Int64"),
+                    "doc_id": batch["doc_id"],
                     "row_key": batch["row_key"],
                     "fp": np.array(values, np.uint64).view(np.int64),
                 }
             )
 
-    return keyed(docs).select("doc_id", "row_key", "text").mapInPandas(run, "doc_id long, row_key long, fp long")
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.select(doc_id.alias("doc_id"), text.alias("text"), row_key().alias("row_key"))
+    source = docs.select(row_id().alias("doc_id"), row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
+    return named(source.mapInPandas(run, "doc_id long, row_key long, fp long"))
 
 
 def _distance(a: np.ndarray, b) -> np.ndarray:
@@ -179,8 +176,9 @@ def shard_links(nodes: np.ndarray, home: np.ndarray, bits: int) -> np.ndarray:
 def links(nodes: DataFrame, bits: int) -> DataFrame:
     """Edges ``a``, ``b`` between distinct values of ``fp`` that connect all pairs within ``bits``."""
     count = nodes.count()
-    shards = min(MOST_SHARDS, 1 << max(0, (count // SHARD_NODES).bit_length()))
-    drawn = [r[0] for r in nodes.orderBy(F.xxhash64("fp"), "fp").limit(min(SAMPLE, 64 * shards)).collect()]
+    wanted = max(count // SHARD_NODES, min(LEAST_SHARDS, count // (2 * LEAF)), 1)
+    shards = min(MOST_SHARDS, 1 << (wanted - 1).bit_length())
+    drawn = [r[0] for r in nodes.orderBy(F.xxhash64("fp"), "fp").limit(min(SAMPLE, 256 * shards)).collect()]
     tree = ShardTree(np.array(drawn, np.int64).view(np.uint64), shards)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,13 +211,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
     zero and are linked like any other. Repeated rows are rows of one group; a null id is a
     row like any other; an empty table gives no rows; other columns are ignored.
     """
-    rows = staged(fingerprints(docs, shingle), "fingerprints")
-    nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
+    rows = written(fingerprints(docs, shingle), "fingerprints")
+    nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
     grouped = components(links(nodes, bits), "simhash")
     labelled = nodes.join(grouped, nodes["fp"] == grouped["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("group")
     )
-    labelled = staged(labelled, "fingerprint-groups")
+    labelled = written(labelled, "fingerprint-groups")
     smallest = labelled.groupBy("group").agg(F.min("least").alias("component_id"))
     return rows.join(labelled.join(smallest, "group").select("fp", "group", "component_id"), "fp")
 
@@ -231,10 +229,10 @@ def representatives(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
     """
     found = near_duplicates(docs, shingle, bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
+    key, kept_id = free_name(docs, "row_key"), free_name(docs, "kept_id")
     kept = found.groupBy("group").agg(first.alias("first")).select(
-        F.col("first.doc_id").alias("_kept_id"), F.col("first.row_key").alias("_row_key")
+        F.col("first.doc_id").alias(kept_id), F.col("first.row_key").alias(key)
     )
-    rows = docs.withColumn("_row_key", row_key())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id"))
-    chosen = rows.join(kept, "_row_key").filter(same).drop("_kept_id")
-    return chosen.dropDuplicates(["_row_key"]).drop("_row_key")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id))
+    chosen = docs.withColumn(key, row_key()).join(written(kept, "fingerprint-kept"), key).filter(same).drop(kept_id)
+    return chosen.dropDuplicates([key]).drop(key).select(docs.columns)
