@@ -23,7 +23,9 @@ def test_topics_then_again_with_other_limits(spark, tiny, tmp_path):
     assert result["perplexity"].count() == 2
     (corpus,) = os.listdir(out)
     (first,) = [n for n in os.listdir(f"{out}/{corpus}") if n.startswith("limits-")]
-    report = f"{out}/{corpus}/{first}/reports"
+    (topics_folder,) = [n for n in os.listdir(f"{out}/{corpus}/{first}") if n.startswith("topics-")]
+    report = f"{out}/{corpus}/{first}/{topics_folder}/reports"
+    assert sorted(os.listdir(f"{out}/{corpus}/{first}/{topics_folder}/lda_model")) == ["k=1", "k=2"]
     topics = text_of(f"{report}/2_TF-IDF/topics.txt").splitlines()
     assert topics[0] == "Topic #0" and topics[4] == "Topic #1" and len(topics) == 8
     assert topics[1].startswith("\t") and topics[1].count("\t") == 2

@@ -126,29 +126,38 @@ def compute_topics(
     terms_per_topic: int = defaults.TERMS_PER_TOPIC,
     seed: int = 42,
     clean: bool = False,
+    passes: int = 1,
+    batch_documents: int = lda.BATCH_DOCUMENTS,
 ) -> dict[str, DataFrame]:
-    """Topics for each count: models, tables with a column ``k`` and text reports."""
+    """Topics for each count: models, tables with a column ``k`` and text reports.
+
+    Every document is read ``passes`` times, with an update for every ``batch_documents``.
+    """
     ready = prepare(source, outdir, limits, clean)
-    models = lda.fit_sweep(ready.vectors, topic_counts, ready.num_docs, seed)
+    counts = sorted({int(k) for k in topic_counts})
+    models = lda.fit_sweep(ready.vectors, counts, ready.num_docs, seed, passes, batch_documents)
+    folder = f"{ready.folder}/topics-" + _key(
+        counts=counts, terms=terms_per_topic, seed=seed, passes=passes, batch_documents=batch_documents
+    )
     for model in models:
-        tables.write_topic_model(model, f"{ready.folder}/lda_model/k={model.k}")
+        tables.write_topic_model(model, f"{folder}/lda_model/k={model.k}")
     terms = tables.write_table(
         lda.sweep_topic_terms(models, ready.dictionary, terms_per_topic),
-        f"{ready.folder}/topic_terms",
+        f"{folder}/topic_terms",
         "k",
     )
     shares = tables.write_table(
-        lda.sweep_doc_topics(models, ready.index), f"{ready.folder}/doc_topics", "k"
+        lda.sweep_doc_topics(models, ready.index), f"{folder}/doc_topics", "k"
     )
-    perplexity = tables.write_table(lda.sweep_perplexity(models), f"{ready.folder}/perplexity")
+    perplexity = tables.write_table(lda.sweep_perplexity(models), f"{folder}/perplexity")
     for model in models:
-        report = f"{ready.folder}/reports/{model.k}_TF-IDF"
+        report = f"{folder}/reports/{model.k}_TF-IDF"
         one = F.col("k") == model.k
         reports.write_topics(terms.filter(one), f"{report}/topics.txt")
         reports.write_document_topics(
             shares.filter(one), ready.index, f"{report}/doc_id_to_topic.txt"
         )
-    reports.write_document_paths(ready.index, f"{ready.folder}/reports/doc_id_to_path.txt")
+    reports.write_document_paths(ready.index, f"{folder}/reports/doc_id_to_path.txt")
     return {
         "index": ready.index,
         "dictionary": ready.dictionary,

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from topicmill.operators.lda import TopicModel
-from topicmill.operators.lda_joined import JoinedTopicModel
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -17,18 +16,6 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def write_dictionary(folder: str, name: str, terms: DataFrame, stats: DataFrame) -> DataFrame:
-    write_table(stats, f"{folder}/{name}_stats")
-    return write_table(terms, f"{folder}/{name}")
-
-
-def write_topic_model(model: TopicModel | JoinedTopicModel, path: str) -> None:
-    """One topic has no model to save: its word table says everything."""
-    if isinstance(model, JoinedTopicModel):
-        write_table(model.terms, path)
-    elif model.model is not None:
-        model.model.write().overwrite().save(path)
+def write_topic_model(model: TopicModel, path: str) -> None:
+    """The topics' weights for each word, ``(token_id, vector)``, for any topic count."""
+    write_table(model.terms, path)
