@@ -25,19 +25,22 @@ def test_weights_by_hand(tiny):
 def test_word_in_every_document_has_no_weight(spark):
     docs = spark.createDataFrame([(1, "all one"), (2, "all two"), (3, "all")], "doc_id bigint, text string")
     words = dictionary.build_dictionary(counts.bag_of_words(docs))
-    by_lookup = tfidf.tfidf_vectors(docs, words, 3)
-    by_join = tfidf.tfidf_vectors(docs, words, 3, vocabulary_bytes=0)
-    assert weights_of(by_lookup) == weights_of(by_join) == {(1, 1): 1.0, (2, 2): 1.0}
+    table = tfidf.tfidf_vectors(docs, words, 3)
+    assert weights_of(table) == {(1, 1): 1.0, (2, 2): 1.0}
+    assert table.features().count() == 3
 
 
-def test_both_ways_give_the_same_matrix(spark, matrix):
+def test_matrix_has_every_document(spark, matrix):
     from conftest import SF_DIR
     from topicmill.plans import catalog
 
     words, table = matrix
-    joined = tfidf.vectors_from_bow(catalog.bow(spark, SF_DIR), words, 200)
-    assert weights_of(joined) == pytest.approx(weights_of(table), abs=1e-12)
-    assert joined.size == table.size == 1669
+    weights = tfidf.tfidf(catalog.bow(spark, SF_DIR), tfidf.fit_idf(words, 200)).join(
+        words.select("token", "token_id"), "token"
+    )
+    expected = {(r["doc_id"], r["token_id"]): r["weight"] for r in weights.collect()}
+    assert weights_of(table) == pytest.approx(expected, abs=1e-12)
+    assert table.features().count() == 200 and table.size == 1669
     assert table.entries().count() == 20_089
     assert table.features().first()["features"].size == 1669
 

@@ -3,7 +3,7 @@
 # The default stop-word list, one word per line.
 STOPWORDS = """
 xc
-Î
+΄
 xce
 *
 zip

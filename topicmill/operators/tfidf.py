@@ -4,20 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from topicmill.functions import defaults
-from topicmill.operators.counts import bag_of_words, tokenize
+from topicmill.operators.counts import bag_of_words
 from topicmill.session import stage_path
 
-# Largest vocabulary text the map-only form may send to every executor.
-VOCABULARY_BYTES = 64 << 20
-_BYTES_PER_ENTRY = 48  # id, weight and hash entry of one word
-
 STORED_VECTOR = T.StructType(
     [
         T.StructField("type", T.ByteType()),
@@ -53,14 +46,6 @@ def tfidf(bow: DataFrame, idf: DataFrame, key: str = "token") -> DataFrame:
     return normalize(tfidf_raw(bow, idf, key))
 
 
-def vocabulary_size(dictionary: DataFrame) -> tuple[int, int]:
-    """Number of words and bytes they take as a look-up table."""
-    row = dictionary.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("token")), F.lit(0)).alias("chars")
-    ).first()
-    return row["n"], row["chars"] + _BYTES_PER_ENTRY * row["n"]
-
-
 @dataclass(frozen=True)
 class VectorTable:
     """A written TF-IDF matrix, one sparse row ``(doc_id, features)`` per document.
@@ -103,90 +88,58 @@ class VectorTable:
 
 
 def tfidf_vectors(
-    docs: DataFrame,
-    dictionary: DataFrame,
-    num_docs: int,
-    vocabulary_bytes: int = VOCABULARY_BYTES,
-    path: str | None = None,
+    docs: DataFrame, dictionary: DataFrame, num_docs: int, path: str | None = None
 ) -> VectorTable:
-    """Write the TF-IDF matrix of a corpus with one row per document.
-
-    While the vocabulary is small enough to send to every task, one pass over
-    the text does everything and nothing is shuffled. A larger vocabulary is
-    joined instead.
-    """
-    size, wanted = vocabulary_size(dictionary)
-    if 0 < size and wanted <= vocabulary_bytes:
-        return _vectors_by_lookup(docs, dictionary, num_docs, path)
-    return vectors_from_bow(bag_of_words(docs), dictionary, num_docs, path)
-
-
-def _vectors_by_lookup(
-    docs: DataFrame, dictionary: DataFrame, num_docs: int, path: str | None
-) -> VectorTable:
-    words = fit_idf(dictionary, num_docs).orderBy("token_id").select("token", "idf").toArrow()
-    tokens = pa.array(words["token"].to_pylist(), pa.string())
-    shared = docs.sparkSession.sparkContext.broadcast((tokens, np.asarray(words["idf"])))
-    rows = tokenize(docs).mapInArrow(
-        lambda batches: _weigh(batches, shared),
-        T.StructType(
-            [
-                docs.schema["doc_id"],
-                T.StructField("indices", T.ArrayType(T.IntegerType())),
-                T.StructField("values", T.ArrayType(T.DoubleType())),
-            ]
-        ),
-    )
-    return _write(_stored(rows, len(tokens)), len(tokens), path)
-
-
-def _weigh(batches, shared):
-    """Look up, count, weigh and scale the tokens of each document."""
-    tokens, idf = shared.value
-    for batch in batches:
-        column = batch.column("tokens")
-        found = pc.index_in(column.flatten(), value_set=tokens)
-        doc = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(column.offsets)))
-        known = np.asarray(found.is_valid())
-        place = (doc[known] << 32) | np.asarray(found.drop_null()).astype(np.int64)
-        entries, counts = np.unique(place, return_counts=True)
-        doc, word = entries >> 32, entries & 0xFFFFFFFF
-        weight = counts * idf[word]
-        length = np.sqrt(np.bincount(doc, weight * weight, minlength=batch.num_rows))
-        weight = weight / np.where(length[doc] > 0, length[doc], 1.0)
-        kept = np.abs(weight) > defaults.WEIGHT_EPSILON
-        sizes = np.bincount(doc[kept], minlength=batch.num_rows)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.ListArray.from_arrays(offsets, pa.array(word[kept].astype(np.int32))),
-                pa.ListArray.from_arrays(offsets, pa.array(weight[kept])),
-            ],
-            ["doc_id", "indices", "values"],
-        )
+    """Write the TF-IDF matrix of a corpus with one row per document."""
+    return vectors_from_bow(bag_of_words(docs), dictionary, num_docs, path, docs)
 
 
 def vectors_from_bow(
-    bow: DataFrame, dictionary: DataFrame, num_docs: int, path: str | None = None
+    bow: DataFrame,
+    dictionary: DataFrame,
+    num_docs: int,
+    path: str | None = None,
+    docs: DataFrame | None = None,
 ) -> VectorTable:
-    """The same table from ``(doc_id, token, tf)`` by joins and shuffles."""
+    """The table from ``(doc_id, token, tf)``: one join with the dictionary, one
+    group per document, whose length is taken in its row."""
     table = fit_idf(dictionary, num_docs)
     weights = bow.join(table.select("token", "token_id", "idf"), "token").select(
         "doc_id", "token_id", (F.col("tf") * F.col("idf")).alias("weight")
     )
-    return vectors_from_weights(normalize(weights), vocabulary_size(dictionary)[0], path)
+    return vectors_from_weights(weights, dictionary.count(), path, docs, scale=True)
+
 
+def vectors_from_weights(
+    weights: DataFrame,
+    size: int,
+    path: str | None = None,
+    docs: DataFrame | None = None,
+    scale: bool = False,
+) -> VectorTable:
+    """The table from ``(doc_id, token_id, weight)``, optionally to unit length.
 
-def vectors_from_weights(weights: DataFrame, size: int, path: str | None = None) -> VectorTable:
-    """The same table from ``(doc_id, token_id, weight)``."""
+    With ``docs`` every document has a row, an empty one if none of its words count.
+    """
     entry = F.struct(F.col("token_id").cast("int").alias("i"), F.col("weight").alias("w"))
-    rows = (
-        weights.groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select("doc_id", F.col("entries.i").alias("indices"), F.col("entries.w").alias("values"))
-    )
-    return _write(_stored(rows, size), size, path)
+    some = weights.filter(F.abs("weight") > defaults.WEIGHT_EPSILON)
+    rows = some.groupBy("doc_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    if scale:
+        squares = F.aggregate("entries", F.lit(0.0), lambda total, e: total + e["w"] * e["w"])
+        rows = rows.withColumn("length", F.sqrt(squares)).withColumn(
+            "entries",
+            F.transform("entries", lambda e: F.struct(e["i"].alias("i"), (e["w"] / F.col("length")).alias("w"))),
+        )
+        rows = rows.withColumn(
+            "entries", F.filter("entries", lambda e: F.abs(e["w"]) > defaults.WEIGHT_EPSILON)
+        )
+    if docs is not None:
+        rows = docs.select("doc_id").join(rows, "doc_id", "left")
+    lists = [
+        F.coalesce(F.col(f"entries.{c}"), F.array().cast(f"array<{t}>")).alias(n)
+        for c, t, n in (("i", "int", "indices"), ("w", "double", "values"))
+    ]
+    return _write(_stored(rows.select("doc_id", *lists), size), size, path)
 
 
 def _stored(rows: DataFrame, size: int) -> DataFrame:

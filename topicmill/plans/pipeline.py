@@ -25,17 +25,15 @@ from topicmill.sources.stages import saved_table, saved_vectors
 @dataclass(frozen=True)
 class Corpus:
     """What the jobs need of a corpus. ``name`` stands for its content in stage
-    paths: give a new name when the content changes. ``docs`` is None for text
-    files, whose documents are spread over many rows."""
+    paths: give a new name when the content changes."""
 
     name: str
     bow: DataFrame
     index: DataFrame
-    docs: DataFrame | None = None
 
     @staticmethod
     def from_table(name: str, docs: DataFrame) -> Corpus:
-        return Corpus(name, counts.bag_of_words(docs), table_index(docs), docs)
+        return Corpus(name, counts.bag_of_words(docs), table_index(docs))
 
     @staticmethod
     def from_text(name: str, text: TextCorpus) -> Corpus:
@@ -111,10 +109,8 @@ def prepare(source: Corpus, outdir: str, limits: Limits, clean: bool = False) ->
     again(f"{folder}/tfidf_model", lambda: tfidf.fit_idf(words, num_docs))
     path = f"{folder}/tfidf_corpus"
     vectors = None if clean else saved_vectors(spark, path, words.count())
-    if vectors is None and source.docs is not None:
-        vectors = tfidf.tfidf_vectors(source.docs, words, num_docs, path=path)
-    elif vectors is None:
-        vectors = tfidf.vectors_from_bow(bow, words, num_docs, path)
+    if vectors is None:
+        vectors = tfidf.vectors_from_bow(bow, words, num_docs, path, index)
     return Prepared(folder, index, num_docs, words, vectors)
 
 

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -56,14 +58,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than cores.
-
-    Tokenising is bound by CPU, so a small file with one row group should not
-    run on one core. A large scan has more splits than cores and is left alone.
-    Call it on a bare scan only: counting partitions would run earlier shuffles.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from topicmill.session import spread, staged
+from topicmill.session import staged
 
 _CHUNK = 1 << 20
 
@@ -27,9 +27,7 @@ MANIFEST_PATHS = 10_000
 
 def document_table(table: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Any table with a unique id and a text as ``(doc_id, text)``."""
-    return spread(
-        table.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    )
+    return table.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
 
 def table_index(docs: DataFrame) -> DataFrame:
