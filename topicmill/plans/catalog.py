@@ -22,6 +22,7 @@ from topicmill.operators import (
 )
 from topicmill.operators.numbering import number_by
 from topicmill.session import staged
+from topicmill.sinks import reports
 from topicmill.sources import documents as sources, wordlists
 
 # Limits used by the queries that filter the dictionary.
@@ -370,6 +371,52 @@ def similarity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.copy_groups(vectors.rows())
 
 
+def similarity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full rows of every twentieth id, copies and the document itself included."""
+    _, vectors = vector_table(spark, sf_dir)
+    asked = documents(spark, sf_dir).filter("doc_id % 20 = 0")
+    found = similarity.similar_by_terms(vectors.rows(), TERM_THRESHOLD).rows_for(asked)
+    return found.select("doc_id", "other_id", rounded("score"))
+
+
+def tfidf_common_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words count, and one that every document has gets no weight."""
+    docs = documents(spark, sf_dir).withColumn("text", F.concat(F.lit("everywhere "), "text"))
+    found = counts.bag_of_words(docs)
+    idf = tfidf.fit_idf(staged(counts.term_statistics(found), "terms"), num_docs(spark, sf_dir))
+    return tfidf.tfidf(found, idf).select("doc_id", "token", rounded("weight"))
+
+
+def lda_share_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's topic shares before small ones are dropped."""
+    _, model = lda_model(spark, sf_dir, TOPICS)
+    shares = model.doc_topics(documents(spark, sf_dir), min_weight=0.0)
+    return shares.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_topics"), F.round(F.sum("weight"), 6).alias("total")
+    )
+
+
+def numbered_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.number_documents(sources.table_index(documents(spark, sf_dir)))
+
+
+def report_document_lines_k1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = lda_model(spark, sf_dir, 1)
+    index = numbered_index(spark, sf_dir)
+    lines = reports.document_topic_lines(model.doc_topics(index), index)
+    return lines.select("doc_no", (F.col("topic_id") + 1).alias("line_no"), "line")
+
+
+def report_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.document_path_lines(numbered_index(spark, sf_dir))
+
+
+def matrix_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = limited_dictionary(spark, sf_dir)
+    entries = corpus.doc2bow(bow(spark, sf_dir), words)
+    return reports.matrix_market_lines(entries, numbered_index(spark, sf_dir), words.count(), "tf")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_documents": scan_documents,
     "document_index": document_index,
@@ -410,4 +457,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lsi_similarity": lsi_similarity,
     "tfidf_similarity": tfidf_similarity,
     "similarity_groups": similarity_groups,
+    "similarity_rows": similarity_rows,
+    "tfidf_common_word": tfidf_common_word,
+    "lda_share_totals": lda_share_totals,
+    "report_document_lines_k1": report_document_lines_k1,
+    "report_paths": report_paths,
+    "matrix_market": matrix_market,
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 
-
 def _with(parts: list[tuple[str, str]], select: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in parts) + "\n" + select
 
@@ -207,4 +206,51 @@ SELECT doc_id, turn, segment FROM walk""",
         "FROM firsts AS a JOIN firsts AS b ON a.token = b.token AND a.doc_id < b.doc_id "
         "GROUP BY 1, 2 HAVING sum(a.weight * b.weight) >= 0.7",
     ),
+    "tfidf_common_word": _with(
+        [
+            ("marked", "SELECT doc_id, 'everywhere ' || text AS text FROM documents"),
+            ("tokens", _tokens("marked", "doc_id", "text")),
+            BOW,
+            TERMS,
+            ("limited", "SELECT * FROM terms"),
+            IDF,
+            RAW,
+            TFIDF,
+        ],
+        "SELECT doc_id, token, round(weight, 6) AS weight FROM tfidf",
+    ),
+    "lda_share_totals": "SELECT doc_id, CAST(4 AS BIGINT) AS n_topics, CAST(1.0 AS DOUBLE) AS total FROM documents",
+    "report_document_lines_k1": "SELECT doc_no, n AS line_no, CASE n WHEN 0 THEN 'Doc #' || doc_no "
+    "ELSE chr(9) || '1.0 on topic #0' END AS line FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_no "
+    "FROM documents) AS numbered, (VALUES (CAST(0 AS INTEGER)), (1)) AS lines(n)",
+    "report_paths": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_no, 'Doc #' || "
+    "(row_number() OVER (ORDER BY doc_id) - 1) || chr(9) || doc_id AS line FROM documents",
+    "matrix_market": _with(
+        [
+            *_TO_DICTIONARY,
+            ("numbered", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents"),
+            ("body", "SELECT r, token_id + 1 AS c, tf FROM bow JOIN dictionary USING (token) JOIN numbered USING (doc_id)"),
+        ],
+        'SELECT r AS "row", c AS "column", r || \' \' || c || \' \' || tf AS line FROM body '
+        "UNION ALL SELECT 0, 0, '%%MatrixMarket matrix coordinate integer general' "
+        "UNION ALL SELECT 0, 1, (SELECT count(*) FROM documents) || ' ' || (SELECT count(*) FROM dictionary) || ' ' || "
+        "(SELECT count(*) FROM body)",
+    ),
+    "similarity_rows": _with(
+        [
+            *_TO_TFIDF,
+            PRINTS,
+            GROUPS,
+            FIRSTS,
+            (
+                "pairs",
+                "SELECT a.doc_id AS p, b.doc_id AS q, sum(a.weight * b.weight) AS score "
+                "FROM firsts AS a JOIN firsts AS b ON a.token = b.token AND a.doc_id <> b.doc_id "
+                "GROUP BY 1, 2 HAVING sum(a.weight * b.weight) >= 0.7",
+            ),
+            ("near", "SELECT * FROM pairs UNION ALL SELECT DISTINCT group_id, group_id, 1.0 FROM groups"),
+        ],
+        "SELECT d.doc_id, m.doc_id AS other_id, round(near.score, 6) AS score FROM groups AS d "
+        "JOIN near ON d.group_id = near.p JOIN groups AS m ON m.group_id = near.q WHERE d.doc_id % 20 = 0",
+    ),
 }

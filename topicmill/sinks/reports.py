@@ -56,11 +56,15 @@ def write_document_topics(doc_topics: DataFrame, index: DataFrame, path: str) ->
     _write_ordered(lines, path, "doc_no", "weight", "topic_id")
 
 
-def write_document_paths(index: DataFrame, path: str) -> None:
-    lines = index.select(
+def document_path_lines(index: DataFrame) -> DataFrame:
+    """``(doc_no, line)`` of every document."""
+    return index.select(
         "doc_no", X.document_path_line(F.col("doc_no"), F.col("doc_id")).alias("line")
     )
-    _write_ordered(lines, path, "doc_no")
+
+
+def write_document_paths(index: DataFrame, path: str) -> None:
+    _write_ordered(document_path_lines(index), path, "doc_no")
 
 
 def matrix_market_lines(
