@@ -34,7 +34,7 @@ def test_term_pairs_equal_brute_force(matrix, threshold, chunk_rows):
 def test_pairs_by_hand_and_copies(spark, tiny):
     more = tiny.unionByName(tiny.selectExpr("doc_id + 10 as doc_id", "text"))
     words = dictionary.build_dictionary(counts.bag_of_words(more))
-    found = similarity.similar_by_terms(tfidf.tfidf_vectors(more, words, 8).rows())
+    found = similarity.similar_by_terms(tfidf.tfidf_vectors(more, words, 8).rows(), 0.0)
     assert rows(found.groups, "doc_id", "group_id") == [(1, 1), (2, 2), (3, 3), (11, 1), (12, 2), (13, 3)]
     assert pairs_of(found) == pytest.approx({(1, 2): 0.108465}, abs=1e-6)
     asked = spark.createDataFrame([(11,)], "doc_id bigint")

@@ -18,10 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+#: Objects that a worker keeps; the one that was used longest ago goes for a new one.
+KEPT_STATES = 2
+
+
 def worker_state(key: object, make: Callable[[], object]) -> object:
     """An object of this Python worker that outlives a task; made at first use."""
     states = sys.__dict__.setdefault("_topicmill_worker_states", {})
-    if key not in states:
+    if key in states:
+        states[key] = states.pop(key)
+    else:
+        while len(states) >= KEPT_STATES:
+            del states[next(iter(states))]
         states[key] = make()
     return states[key]
 

@@ -27,7 +27,7 @@ LETTERS = 24
 WORDS = re.compile(r"[^\W\d_]{1,24}|\d{1,24}")
 GRAMS = 1 << 13
 #: Words a worker keeps projections of before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 
 @dataclass

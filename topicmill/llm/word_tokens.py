@@ -17,7 +17,7 @@ import numpy as np
 from topicmill.llm.common import worker_state
 
 #: Chunks and runs that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Longer chunks are encoded each time, not remembered.
 LONGEST = 100
 #: Letters whose lower case and normal form need no neighbours, digits and signs, but no apostrophe,
