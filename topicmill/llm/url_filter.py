@@ -3,8 +3,9 @@
 Accepted and rejected URLs (those that a rule decides) each train a variable-order Markov
 model: the probability of a character after up to ``order`` others is smoothed with that
 after one fewer, down to equal shares. A URL's score is its log-likelihood under the
-rejected model less that under the accepted one, by character. Digits count as one
-character, so URLs that differ in numbers only are scored once. Everything is built-in
+rejected model less that under the accepted one, by character of the whole URL; only
+equal URLs are scored once. A fifth of the URLs is held out to find the threshold; the
+models that score count every ruled URL, the held-out ones too. Everything is built-in
 DataFrame functions.
 """
 
@@ -39,14 +40,14 @@ def decided(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
-def _grams(patterns: DataFrame, order: int, *columns: str) -> DataFrame:
-    """A row for each character of a pattern: the ``order`` characters before it and itself."""
-    padded = F.concat(F.lit(START * order), F.col("pattern"))
-    places = F.sequence(F.lit(1), F.length("pattern"))
+def _grams(urls: DataFrame, order: int, *columns: str) -> DataFrame:
+    """A row for each character of a URL: the ``order`` characters before it and itself."""
+    padded = F.concat(F.lit(START * order), F.col("url"))
+    places = F.sequence(F.lit(1), F.length("url"))
     return (
-        patterns.filter(F.length("pattern") > 0)
-        .select("pattern", *columns, padded.alias("padded"), F.explode(places).alias("at"))
-        .select("pattern", *columns, F.substr("padded", F.col("at"), F.lit(order + 1)).alias("gram"))
+        urls.filter(F.length("url") > 0)
+        .select(*columns, padded.alias("padded"), F.explode(places).alias("at"))
+        .select(*columns, F.substr("padded", F.col("at"), F.lit(order + 1)).alias("gram"))
     )
 
 
@@ -75,33 +76,30 @@ def character_ratios(trained: DataFrame, wanted: DataFrame, order: int, trust: f
     return model.select("gram", (F.log("block_p") - F.log("allow_p")).alias("ratio"))
 
 
-def scored(patterns: DataFrame, order: int, trust: float, alphabet: int) -> DataFrame:
-    """``pattern``, counts and ``score``; the fifth of patterns in ``held`` trains nothing."""
-    grams = _grams(patterns, order, "allow", "block", "held")
-    trained = (
-        grams.filter("not held and allow + block > 0")
-        .groupBy("gram")
-        .agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
-    )
+def scored(trained: DataFrame, wanted: DataFrame, order: int, trust: float, alphabet: int) -> DataFrame:
+    """``wanted`` and ``score``; the URLs of ``trained`` count ``allow`` and ``block`` times each."""
     counts = written(
-        grams.groupBy("gram").agg(F.count("*").alias("n")).join(trained, "gram", "left").na.fill(0), "url-grams"
+        _grams(trained, order, "allow", "block")
+        .groupBy("gram")
+        .agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")),
+        "url-grams",
     )
-    ratios = character_ratios(counts.filter("allow + block > 0"), counts, order, trust, alphabet)
-    totals = grams.join(ratios, "gram").groupBy("pattern").agg(F.avg("ratio").alias("score"))
-    return patterns.join(totals, "pattern", "left").na.fill(0.0, ["score"])
+    grams = _grams(wanted, order, "url")
+    ratios = character_ratios(counts, grams, order, trust, alphabet)
+    totals = grams.join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
+    return wanted.join(totals, "url", "left").na.fill(0.0, ["score"])
 
 
-def threshold(patterns: DataFrame, step: float = 0.005, most: float = 20.0) -> DataFrame:
+def threshold(held: DataFrame, step: float = 0.005, most: float = 20.0) -> DataFrame:
     """One row ``cut``: the score above which a URL is blocked.
 
-    Of the held-out patterns with a rule, the middle of the cuts at which the share of blocked
+    Of the held-out URLs with a rule, the middle of the cuts at which the share of blocked
     URLs below it and of allowed ones not below it add up to least; scores count by
     steps, at most ``2 * most / step`` of them. Null without both kinds.
     """
     score = F.greatest(F.lit(-most), F.least(F.lit(most), F.col("score")))
     bins = (
-        patterns.filter("held and allow + block > 0")
-        .groupBy(F.floor(score / step).alias("bin"))
+        held.groupBy(F.floor(score / step).alias("bin"))
         .agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
     )
     bins = bins.agg(
@@ -137,16 +135,17 @@ def judged(
     ``page_id`` stays null, other columns are ignored, an empty table gives no rows.
     """
     host, path = host_and_path(F.col("url"))
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"))
-    pattern = F.regexp_replace(F.coalesce("url", F.lit("")), "[0-9]+", "0")
-    rows = rows.select("page_id", host.alias("host"), path.alias("path"), pattern.alias("pattern"))
+    rows = pages.select("page_id", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"))
+    rows = rows.select("page_id", host.alias("host"), path.alias("path"), "url")
     rule, verdict = decided(F.col("host"), F.col("path"), rules)
-    rows = rows.select("page_id", "host", "path", "pattern", rule.alias("rule"), verdict.alias("ruled"))
+    rows = rows.select("page_id", "host", "path", "url", rule.alias("rule"), verdict.alias("ruled"))
     says = {c: F.count(F.when(F.col("ruled") == c, 1)).alias(c) for c in ("allow", "block")}
-    patterns = rows.groupBy("pattern").agg(*says.values())
-    held = F.pmod(F.crc32(F.col("pattern").cast("binary")), F.lit(5)) == 0
-    patterns = written(patterns.withColumn("held", held), "url-patterns")
-    scores = written(scored(patterns, order, trust, alphabet), "url-scores")
-    judged_rows = rows.join(scores.select("pattern", "score"), "pattern").crossJoin(F.broadcast(threshold(scores)))  # one row
+    held = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0
+    urls = written(rows.groupBy("url").agg(*says.values()).withColumn("held", held), "urls")
+    ruled = urls.filter("allow + block > 0")
+    model = (order, trust, alphabet)
+    cut = threshold(scored(ruled.filter("not held"), ruled.filter("held"), *model))
+    scores = written(scored(ruled, urls, *model), "url-scores")
+    judged_rows = rows.join(scores.select("url", "score"), "url").crossJoin(F.broadcast(cut))  # one row
     guess = F.when(F.col("score") >= F.col("cut"), "block").otherwise("allow")
     return judged_rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", guess).alias("verdict"), "score")
