@@ -5,10 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from helpers import SF_DIR  # noqa: E402
 from topicmill.session import local_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -30,7 +29,3 @@ def matrix(spark):
     from topicmill.plans import catalog
 
     return catalog.vector_table(spark, SF_DIR)
-
-
-def rows(df, *columns):
-    return sorted(tuple(r) for r in df.select(*columns).collect())

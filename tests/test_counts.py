@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 from topicmill.operators import corpus, counts, dictionary
 from topicmill.operators.numbering import number_by

@@ -1,7 +1,7 @@
 import bz2
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from topicmill.operators import counts, splitting

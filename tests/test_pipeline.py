@@ -1,6 +1,6 @@
 import os
 
-from conftest import rows
+from helpers import rows
 
 from topicmill.plans.pipeline import Corpus, Limits, compute_similarity, compute_topics
 from topicmill.sinks import reports

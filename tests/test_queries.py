@@ -2,7 +2,7 @@
 
 import pytest
 from compare import difference, duck
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 import __spark_entry__ as contract
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from topicmill.operators import splitting
 

@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from topicmill.operators import counts, dictionary, tfidf
 
@@ -31,7 +31,7 @@ def test_word_in_every_document_has_no_weight(spark):
 
 
 def test_matrix_has_every_document(spark, matrix):
-    from conftest import SF_DIR
+    from helpers import SF_DIR
     from topicmill.plans import catalog
 
     words, table = matrix
