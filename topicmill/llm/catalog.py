@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import byte_bpe, lengths, packing, pivot_search, projected_search, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from topicmill.llm import best_fit, byte_bpe, lengths, packing, pivot_search, projected_search, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
 BYTE_FILE = "byte_bpe_multi_50k.tiktoken"
+ENGLISH_FILE = "byte_bpe_50k.json"
 
 
 def op1_topk_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES).drop("score")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return best_fit.pack(docs, public_tokenizers.path(ENGLISH_FILE), public_tokenizers.PATTERN).drop("piece_ids")
+
+
 QUERIES = {
     "op1_topk_products": op1_topk_products,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -84,6 +90,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
 
 SQL: dict[str, str] = {}
