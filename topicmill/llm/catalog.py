@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import best_fit, byte_bpe, lengths, packing, pivot_search, projected_search, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from topicmill.llm import alignment, best_fit, byte_bpe, lengths, packing, pivot_search, projected_search, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
 BYTE_FILE = "byte_bpe_multi_50k.tiktoken"
 ENGLISH_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def op1_topk_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,12 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(docs, public_tokenizers.path(ENGLISH_FILE), public_tokenizers.PATTERN).drop("piece_ids")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    path = public_tokenizers.path
+    return alignment.digests(docs, path(ENGLISH_FILE), public_tokenizers.PATTERN, path(PIECE_FILE))
+
+
 QUERIES = {
     "op1_topk_products": op1_topk_products,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -91,6 +98,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 SQL: dict[str, str] = {}
