@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicmill.llm import alignment, best_fit, byte_bpe, lengths, packing, pivot_search, projected_search, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from topicmill.llm import alignment, best_fit, byte_bpe, conversation_repair, lengths, packing, pivot_search, projected_search, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from topicmill.llm.common import table
 
 WORD_FILE = "word_bpe_49k.json"
@@ -86,6 +86,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.digests(docs, path(ENGLISH_FILE), public_tokenizers.PATTERN, path(PIECE_FILE))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversation_repair.audits(conversation_repair.damaged(conversations), ids=conversations)
+
+
 QUERIES = {
     "op1_topk_products": op1_topk_products,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,6 +104,7 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_token_alignment": op12_token_alignment,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {}
