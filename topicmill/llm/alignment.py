@@ -27,12 +27,12 @@ from topicmill.llm.common import Sent, named, texts, worker_state, written
 #: Ends of the driving list that are looked for one after another; such runs go side by side.
 RUN = 64
 #: Characters, and links, that a task works on at once.
-CHARACTERS_AT_ONCE, LINKS_AT_ONCE = 1_000_000, 4_000_000
+CHARACTERS_AT_ONCE, LINKS_AT_ONCE = 500_000, 1_000_000
 #: Most pairs whose counts are sent to all tasks, and pairs that a task adds up before it gives them on.
 FREQUENT_PAIRS = 500_000
-HELD_PAIRS = 2_000_000
+HELD_PAIRS = 500_000
 
-GROUPS = "key long, doc_id long, a_ids binary, b_ids binary, a_counts binary, b_counts binary"
+GROUPS = "key long, doc_id long, a_ids binary, b_ids binary, a_last binary, b_last binary"
 DIGESTS = (
     "key long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
     "groups_sha256 string, rare_pairs array<long>, rare_links array<long>"
@@ -144,11 +144,12 @@ class Aligner:
         a_ids, b_ids = (np.concatenate([t[i] for t in tokens]) for i in (0, 1))
         a_of, b_of = (np.cumsum([0, *[len(t[i]) for t in tokens]]) for i in (0, 1))
         a_at, b_at = common_ends(np.cumsum(self.a.sizes[a_ids]), np.cumsum(self.b.sizes[b_ids]), a_of, b_of)
-        a_counts, b_counts = np.diff(a_at, prepend=-1), np.diff(b_at, prepend=-1)
-        of = np.searchsorted(a_at, a_of)  # every text with tokens ends with a common end
+        a_last, b_last = np.zeros(len(a_ids), bool), np.zeros(len(b_ids), bool)
+        a_last[a_at], b_last[b_at] = True, True
+        a_kind, b_kind = number_type(len(self.a.pieces)), number_type(len(self.b.pieces))
         return [
-            (_binary(a), _binary(b), _binary(a_counts[i:j]), _binary(b_counts[i:j]))
-            for (a, b), i, j in zip(tokens, of[:-1], of[1:])
+            (a.astype(a_kind).tobytes(), b.astype(b_kind).tobytes(), bits(a_last[i:j]), bits(b_last[k:m]))
+            for (a, b), i, j, k, m in zip(tokens, a_of[:-1], a_of[1:], b_of[:-1], b_of[1:])
         ]
 
     @staticmethod
@@ -156,21 +157,35 @@ class Aligner:
         return b"".join(map(tokenizer.pieces.__getitem__, ids.tolist()))
 
 
-def _binary(numbers: np.ndarray) -> bytes:
-    return numbers.astype("<u4").tobytes()
+def number_type(ids: int) -> str:
+    """How ids below ``ids`` are written: 16 or 32 bits, lowest byte first."""
+    return "<u2" if ids <= 1 << 16 else "<u4"
 
 
-def _numbers(column) -> tuple[np.ndarray, np.ndarray]:
+def bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def _numbers(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of some binary values, and the first index of each value."""
-    of = np.cumsum([0, *[len(v) // 4 for v in column]])
-    return np.frombuffer(b"".join(column), "<u4").astype(np.int64), of
+    of = np.cumsum([0, *map(len, column)]) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column), kind).astype(np.int64), of
+
+
+def _set_bits(column, of: np.ndarray) -> np.ndarray:
+    """The places of the bits that are set, in flags packed value by value."""
+    flags = np.unpackbits(np.frombuffer(b"".join(column), np.uint8), bitorder="little")
+    first = 8 * np.cumsum([0, *map(len, column)])[:-1]
+    sizes = np.diff(of)
+    return np.flatnonzero(flags[np.repeat(first - of[:-1], sizes) + np.arange(of[-1])])
 
 
 def aligned(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> DataFrame:
-    """``GROUPS``: the ids of both tokenizers, and the tokens of each in every group.
+    """``GROUPS``: the ids of both tokenizers, and which of them end a group.
 
-    ``docs`` has ``doc_id`` and ``text``; other columns are ignored. ``key`` tells rows apart. The
-    binary columns hold unsigned 32-bit numbers, lowest byte first. Texts that are null or empty,
+    ``docs`` has ``doc_id`` and ``text``; other columns are ignored. ``key`` tells rows apart. Ids are
+    written as ``number_type`` says, ``a_last`` and ``b_last`` are a bit for each token, the lowest
+    first; a group is what lies between two set bits, on both sides alike. Texts that are null or empty,
     or whose tokens' bytes are not those of a space and the text, have no tokens. Repeated rows
     are rows of their own; a null ``doc_id`` is ``NO_ID`` here. Texts of any length are read whole.
     """
@@ -205,16 +220,16 @@ def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 class Part:
-    """Some rows of ``GROUPS`` as flat arrays; ``width`` is the number of ids of B."""
-
-    def __init__(self, rows: pd.DataFrame, width: int):
-        self.rows, self.width = rows, width
-        self.a_ids, self.a_of = _numbers(rows["a_ids"])
-        self.b_ids, self.b_of = _numbers(rows["b_ids"])
-        self.a_counts, self.of = _numbers(rows["a_counts"])
-        self.b_counts, _ = _numbers(rows["b_counts"])
-        self.a_first = np.cumsum(self.a_counts) - self.a_counts
-        self.b_first = np.cumsum(self.b_counts) - self.b_counts
+    """Some rows of ``GROUPS`` as flat arrays; ``a_size`` and ``width`` are the numbers of ids."""
+
+    def __init__(self, rows: pd.DataFrame, a_size: int, width: int):
+        self.rows, self.width, self.span = rows, width, a_size * width
+        self.a_ids, self.a_of = _numbers(rows["a_ids"], number_type(a_size))
+        self.b_ids, self.b_of = _numbers(rows["b_ids"], number_type(width))
+        a_at, b_at = _set_bits(rows["a_last"], self.a_of), _set_bits(rows["b_last"], self.b_of)
+        self.a_counts, self.b_counts = np.diff(a_at, prepend=-1), np.diff(b_at, prepend=-1)
+        self.of = np.searchsorted(a_at, self.a_of)  # every text with tokens ends with a group
+        self.a_first, self.b_first = a_at + 1 - self.a_counts, b_at + 1 - self.b_counts
         self.doc = np.repeat(np.arange(len(rows)), np.diff(self.of))
         self.links = self.a_counts * self.b_counts
 
@@ -224,9 +239,10 @@ class Part:
         for first, after in slices(self.links, LINKS_AT_ONCE):
             a, b, links = self._of_groups(first, after) if after > first + 1 else self._of_group(first)
             doc = np.repeat(self.doc[first:after], self.links[first:after]) if after > first + 1 else self.doc[first]
-            found.append(_summed(doc, a * self.width + b, links))
-        parts = [np.concatenate(column) for column in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-        return _summed(*parts) if len(found) > 1 else tuple(parts)
+            found.append(_summed(doc * self.span + a * self.width + b, links))
+        keys, links = (np.concatenate(column) for column in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        keys, links = _summed(keys, links) if len(found) > 1 else (keys, links)
+        return keys // self.span, keys % self.span, links
 
     def _of_groups(self, first: int, after: int):
         links = self.links[first:after]
@@ -234,7 +250,7 @@ class Part:
         place = np.arange(links.sum()) - np.repeat(np.cumsum(links) - links, links)
         down, across = np.divmod(place, self.b_counts[group])
         a, b = self.a_ids[self.a_first[group] + down], self.b_ids[self.b_first[group] + across]
-        return a, b, np.ones(len(a), np.int64)
+        return a, b, None
 
     def _of_group(self, group: int):
         """One group, which may be long: its different ids, paired, with the product of their numbers."""
@@ -258,22 +274,24 @@ class Part:
             yield "".join(map(look, code[i:j].tolist()))
 
 
-def _summed(doc, pair: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    doc = np.broadcast_to(doc, len(pair))
-    order = np.lexsort((pair, doc))
-    doc, pair = doc[order], pair[order]
-    new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1]))[: len(pair)])
-    return doc[new], pair[new], np.add.reduceat(links[order], new) if len(new) else links[:0]
+def _summed(keys: np.ndarray, numbers: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, with the sum of its numbers; without numbers each counts one."""
+    if numbers is None:
+        return np.unique(keys, return_counts=True)
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[new], np.add.reduceat(numbers[order], new) if len(new) else numbers[:0]
 
 
-def _parts(batches: Iterator[pd.DataFrame], width: int) -> Iterator[Part]:
+def _parts(batches: Iterator[pd.DataFrame], a_size: int, width: int) -> Iterator[Part]:
     for batch in batches:
         sizes = np.array([len(a) + len(b) for a, b in zip(batch["a_ids"], batch["b_ids"])], np.int64)
-        for first, after in slices(sizes, 8 * CHARACTERS_AT_ONCE):
-            yield Part(batch.iloc[first:after], width)
+        for first, after in slices(sizes, 2 * CHARACTERS_AT_ONCE):
+            yield Part(batch.iloc[first:after], a_size, width)
 
 
-def pair_counts(groups: DataFrame, width: int) -> DataFrame:
+def pair_counts(groups: DataFrame, a_size: int, width: int) -> DataFrame:
     """``(pair, docs)``: the rows that link each pair of ids ``pair // width`` and ``pair % width``.
 
     Tasks add up what they hold before it is shuffled, so a pair of every document
@@ -282,9 +300,9 @@ def pair_counts(groups: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs, docs = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for part in _parts(batches, width):
+        for part in _parts(batches, a_size, width):
             new, n = np.unique(part.pairs()[1], return_counts=True)
-            _, pairs, docs = _summed(0, np.concatenate([pairs, new]), np.concatenate([docs, n]))
+            pairs, docs = _summed(np.concatenate([pairs, new]), np.concatenate([docs, n]))
             if len(pairs) > HELD_PAIRS:
                 yield pd.DataFrame({"pair": pairs, "docs": docs})
                 pairs, docs = pairs[:0], docs[:0]
@@ -318,7 +336,7 @@ def scored(groups: DataFrame, a_size: int, width: int) -> DataFrame:
     each id of A, and ``FREQUENT_PAIRS`` pairs at most.
     """
     spark = groups.sparkSession
-    counts = written(pair_counts(groups, width), "pair-counts")
+    counts = written(pair_counts(groups, a_size, width), "pair-counts")
     a_id = F.expr(f"pair DIV {width}")
     best = counts.groupBy(a_id.alias("a")).agg(F.max("docs").alias("best"))
     known = frequent_pairs(counts, FREQUENT_PAIRS).toPandas().sort_values("pair")
@@ -330,7 +348,7 @@ def scored(groups: DataFrame, a_size: int, width: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs, docs, most = sent.value
         table = worker_state(("numbers", a_size, width), lambda: _written_numbers(a_size, width))
-        for part in _parts(batches, width):
+        for part in _parts(batches, a_size, width):
             row, pair, links = part.pairs()
             at = np.minimum(np.searchsorted(pairs, pair), max(0, len(pairs) - 1))
             hit = pairs[at] == pair if len(pairs) else np.zeros(len(pair), bool)
