@@ -120,8 +120,9 @@ def test_long_group():
     a, b = rng.integers(0, 50, 3000), rng.integers(0, 40, 2500)
     import pandas as pd
 
-    row = [alignment._binary(np.asarray(v)) for v in (a, b, [3000], [2500])]
-    part = alignment.Part(pd.DataFrame([row], columns=["a_ids", "b_ids", "a_counts", "b_counts"]), 100)
+    ends = [alignment.bits(np.arange(len(v)) == len(v) - 1) for v in (a, b)]
+    row = [a.astype("<u2").tobytes(), b.astype("<u2").tobytes(), *ends]
+    part = alignment.Part(pd.DataFrame([row], columns=["a_ids", "b_ids", "a_last", "b_last"]), 100, 100)
     _, pairs, links = part.pairs()
     a_n, b_n = np.bincount(a), np.bincount(b)
     assert links.sum() == 3000 * 2500
