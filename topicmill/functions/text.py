@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Fixed value: a token is a run of at least two ASCII letters in lower-cased text.
@@ -14,6 +16,15 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it.
+
+    Columns of two selects are put together by the optimizer, which then computes
+    the inner one again for each element of a lambda that uses it.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def run_starts(ordered: Column) -> Column:
     """Positions at which a new value begins in a sorted array."""
     positions = F.when(

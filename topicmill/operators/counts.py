@@ -17,6 +17,16 @@ def doc_tokens(docs: DataFrame) -> DataFrame:
     return tokenize(docs).select("doc_id", F.explode("tokens").alias("token"))
 
 
+def bags(docs: DataFrame) -> DataFrame:
+    """``(doc_id, words)`` with ``array<struct<token, tf>>`` in token order, one row per
+    document, also for empty ones."""
+    words = X.let(
+        F.sort_array(X.tokens(F.col("text"))),
+        lambda ordered: X.let(X.run_starts(ordered), lambda starts: X.run_lengths(ordered, starts)),
+    )
+    return docs.select("doc_id", words.alias("words"))
+
+
 def bag_of_words(docs: DataFrame) -> DataFrame:
     """``(doc_id, token, tf)`` of a corpus with one row per document.
 
@@ -29,6 +39,11 @@ def bag_of_words(docs: DataFrame) -> DataFrame:
     return starts.select("doc_id", F.inline(counts))
 
 
+def from_bags(found: DataFrame) -> DataFrame:
+    """``(doc_id, token, tf)`` of ``bags``."""
+    return found.select("doc_id", F.inline("words"))
+
+
 def bag_of_words_from_lines(lines: DataFrame) -> DataFrame:
     """``(doc_id, token, tf)`` of a corpus with one row per line.
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from topicmill.functions import defaults
-from topicmill.operators.counts import bag_of_words
+from topicmill.operators import counts
 from topicmill.session import stage_path
 
 STORED_VECTOR = T.StructType(
@@ -91,7 +95,14 @@ def tfidf_vectors(
     docs: DataFrame, dictionary: DataFrame, num_docs: int, path: str | None = None
 ) -> VectorTable:
     """Write the TF-IDF matrix of a corpus with one row per document."""
-    return vectors_from_bow(bag_of_words(docs), dictionary, num_docs, path, docs)
+    return vectors_from_bags(counts.bags(docs), dictionary, num_docs, path)
+
+
+def vectors_from_bags(
+    found: DataFrame, dictionary: DataFrame, num_docs: int, path: str | None = None
+) -> VectorTable:
+    """The table from written ``bags``, so that the text is cut into words once."""
+    return vectors_from_bow(counts.from_bags(found), dictionary, num_docs, path, found)
 
 
 def vectors_from_bow(
@@ -102,7 +113,7 @@ def vectors_from_bow(
     docs: DataFrame | None = None,
 ) -> VectorTable:
     """The table from ``(doc_id, token, tf)``: one join with the dictionary, one
-    group per document, whose length is taken in its row."""
+    exchange by document."""
     table = fit_idf(dictionary, num_docs)
     weights = bow.join(table.select("token", "token_id", "idf"), "token").select(
         "doc_id", "token_id", (F.col("tf") * F.col("idf")).alias("weight")
@@ -120,33 +131,57 @@ def vectors_from_weights(
     """The table from ``(doc_id, token_id, weight)``, optionally to unit length.
 
     With ``docs`` every document has a row, an empty one if none of its words count.
+    Numbers alone are shuffled, once; a task sorts its documents and puts the
+    entries of many of them together at a time.
     """
-    entry = F.struct(F.col("token_id").cast("int").alias("i"), F.col("weight").alias("w"))
-    some = weights.filter(F.abs("weight") > defaults.WEIGHT_EPSILON)
-    rows = some.groupBy("doc_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    entries = weights.filter(F.abs("weight") > defaults.WEIGHT_EPSILON).select(
+        "doc_id", F.col("token_id").cast("int").alias("token_id"), F.col("weight").cast("double").alias("weight")
+    )
+    if docs is not None:  # a row without a word for each
+        entries = entries.unionByName(docs.select("doc_id"), allowMissingColumns=True)
+    doc_id = entries.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {doc_id}, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    ordered = entries.repartition("doc_id").sortWithinPartitions("doc_id", "token_id")
+    rows = ordered.mapInArrow(lambda batches: _documents(batches, size, scale), schema)
+    return _write(rows, size, path)
+
+
+def _documents(batches: Iterator[pa.RecordBatch], size: int, scale: bool) -> Iterator[pa.RecordBatch]:
+    """One row for each document of entries that come in its order."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        ends = np.asarray(pc.run_end_encode(held["doc_id"].combine_chunks()).run_ends)
+        if len(ends) > 1:  # the last document may go on in the next batch
+            yield _documents_of(held.slice(0, ends[-2]), size, scale)
+            held = held.slice(ends[-2])
+    if held is not None and held.num_rows:
+        yield _documents_of(held, size, scale)
+
+
+def _documents_of(entries: pa.Table, size: int, scale: bool) -> pa.RecordBatch:
+    runs = pc.run_end_encode(entries["doc_id"].combine_chunks())
+    doc = np.repeat(np.arange(len(runs.values)), np.diff(np.asarray(runs.run_ends), prepend=0))
+    some = np.flatnonzero(np.asarray(pc.is_valid(entries["token_id"]).combine_chunks()))
+    doc = doc[some]
+    ids = entries["token_id"].take(pa.array(some)).to_numpy()
+    weights = entries["weight"].take(pa.array(some)).to_numpy()
     if scale:
-        squares = F.aggregate("entries", F.lit(0.0), lambda total, e: total + e["w"] * e["w"])
-        rows = rows.withColumn("length", F.sqrt(squares)).withColumn(
-            "entries",
-            F.transform("entries", lambda e: F.struct(e["i"].alias("i"), (e["w"] / F.col("length")).alias("w"))),
-        )
-        rows = rows.withColumn(
-            "entries", F.filter("entries", lambda e: F.abs(e["w"]) > defaults.WEIGHT_EPSILON)
-        )
-    if docs is not None:
-        rows = docs.select("doc_id").join(rows, "doc_id", "left")
-    lists = [
-        F.coalesce(F.col(f"entries.{c}"), F.array().cast(f"array<{t}>")).alias(n)
-        for c, t, n in (("i", "int", "indices"), ("w", "double", "values"))
-    ]
-    return _write(_stored(rows.select("doc_id", *lists), size), size, path)
-
-
-def _stored(rows: DataFrame, size: int) -> DataFrame:
-    """The struct a sparse vector column is stored as."""
-    kind = F.lit(0).cast("tinyint").alias("type")
-    length = F.lit(size).cast("int").alias("size")
-    return rows.select("doc_id", F.struct(kind, length, "indices", "values").alias("features"))
+        weights = weights / np.sqrt(np.bincount(doc, weights * weights, len(runs.values)))[doc]
+        kept = np.abs(weights) > defaults.WEIGHT_EPSILON
+        doc, ids, weights = doc[kept], ids[kept], weights[kept]
+    offsets = pa.array(np.searchsorted(doc, np.arange(len(runs.values) + 1)), pa.int32())
+    features = pa.StructArray.from_arrays(
+        [
+            pa.array(np.zeros(len(runs.values), np.int8)),
+            pa.array(np.full(len(runs.values), size, np.int32)),
+            pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())),
+            pa.ListArray.from_arrays(offsets, pa.array(weights, pa.float64())),
+        ],
+        ["type", "size", "indices", "values"],
+    )
+    return pa.RecordBatch.from_arrays([runs.values, features], ["doc_id", "features"])
 
 
 def _write(vectors: DataFrame, size: int, path: str | None) -> VectorTable:

@@ -69,14 +69,19 @@ def bow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.bag_of_words(documents(spark, sf_dir))
 
 
+def written_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' words, written once for the dictionary and the matrix."""
+    return staged(counts.bags(documents(spark, sf_dir)), "bags", group_bytes=1 << 23)
+
+
 def num_docs(spark: SparkSession, sf_dir: str) -> int:
     """From the parquet footers."""
     return table(spark, sf_dir, "documents").count()
 
 
-def limited_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def limited_terms(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) -> DataFrame:
     """``(token, df, cf)`` within the frequency limits, unordered and lazy."""
-    terms = counts.term_statistics(bow(spark, sf_dir))
+    terms = counts.term_statistics(bow(spark, sf_dir) if words is None else words)
     return dictionary.filter_extremes(terms, num_docs(spark, sf_dir), NO_BELOW, NO_ABOVE)
 
 
@@ -254,19 +259,18 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The matrix by token id, in one pass over the text where possible."""
-    vectors = tfidf.tfidf_vectors(
-        documents(spark, sf_dir), limited_dictionary(spark, sf_dir), num_docs(spark, sf_dir)
-    )
+    """The matrix by token id."""
+    _, vectors = vector_table(spark, sf_dir)
     return vectors.entries().select(
         "doc_id", F.col("token_id").cast("bigint").alias("token_id"), rounded("weight")
     )
 
 
 def vector_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tfidf.VectorTable]:
-    """The limited dictionary and the TF-IDF matrix over it."""
-    words = limited_dictionary(spark, sf_dir)
-    return words, tfidf.tfidf_vectors(documents(spark, sf_dir), words, num_docs(spark, sf_dir))
+    """The limited dictionary and the TF-IDF matrix over it; the text is read once."""
+    found = written_bags(spark, sf_dir)
+    words = dictionary.renumber(limited_terms(spark, sf_dir, counts.from_bags(found)))
+    return words, tfidf.vectors_from_bags(found, words, num_docs(spark, sf_dir))
 
 
 # Splitting

@@ -49,12 +49,14 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The result survives the loss of executors without recomputing its lineage,
-    and a plan that reads it twice sees the same rows both times.
+    and a plan that reads it twice sees the same rows both times. Row groups of
+    ``group_bytes`` let several tasks share a large file.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write if group_bytes is None else df.write.option("parquet.block.size", str(group_bytes))
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
