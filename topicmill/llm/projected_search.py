@@ -88,11 +88,21 @@ class KdTree:
 
 
 def cosines(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosine of each row with a query; equal rows give equal values wherever they stand."""
+    """Cosine of each row with a query; equal rows give equal values wherever they stand.
+
+    Rows and query are scaled by powers of two, which rounds nothing, so that no square
+    or product overflows.
+    """
+    vectors, query = _scaled(vectors), _scaled(query[None])[0]
     inner = (vectors * query).sum(1)
     return inner / (np.sqrt((vectors * vectors).sum(1)) * np.sqrt((query * query).sum()))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows whose largest component lies between a half and one."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
+
+
 def _units(vectors: np.ndarray) -> np.ndarray:
     scaled = vectors / np.abs(vectors).max(1, keepdims=True)
     return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
