@@ -113,6 +113,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` whatever their names, dots included."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def row_key() -> Column:
     """With the id it tells rows apart; rows with equal id and text are the same document read twice."""
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicmill.llm.common import components, free_name, named, row_id, row_key, text_bytes, written
+from topicmill.llm.common import components, free_name, named, own_columns, row_id, row_key, text_bytes, written
 from topicmill.llm.word_tokens import texts_of
 
 #: Nodes that a shard should hold at most, shards that a tree has where there are nodes for them, and
@@ -235,4 +235,4 @@ def representatives(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
     )
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id))
     chosen = docs.withColumn(key, row_key()).join(written(kept, "fingerprint-kept"), key).filter(same).drop(kept_id)
-    return chosen.dropDuplicates([key]).drop(key).select(docs.columns)
+    return chosen.dropDuplicates([key]).drop(key).select(*own_columns(docs))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicmill.llm import winnowing
-from topicmill.llm.common import free_name, named, row_id, row_key, text_bytes, written
+from topicmill.llm.common import free_name, named, own_columns, row_id, row_key, text_bytes, written
 from topicmill.llm.word_tokens import texts_of
 
 GRAM = 16
@@ -268,7 +268,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, column: str) -> DataFrame:
     number, key = free_name(docs, "id"), free_name(docs, "row_key")
     keyed = docs.withColumn(number, row_id()).withColumn(key, row_key())
     found = spans.select(F.col("id").alias(number), F.col("row_key").alias(key), F.col("spans").alias(column))
-    return keyed.join(found, [number, key], "left").select(*docs.columns, column)
+    return keyed.join(found, [number, key], "left").select(*own_columns(docs), column)
 
 
 def runs_of(spans: np.ndarray | None) -> list[tuple[int, int]]:
@@ -287,6 +287,19 @@ def kept_bytes(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
+def kept_text(text: str, runs: list[tuple[int, int]]) -> str:
+    """A text without the whole characters of some runs of its bytes; a character that a run
+    only touches stays."""
+    data, whole = text_bytes(text), []
+    for a, b in runs:
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        whole.append((a, b))
+    return kept_bytes(data, whole).decode("utf-8", "surrogatepass")
+
+
 def digests(docs: DataFrame, length: int = 100, shard_rows: int = 8192) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every row.
 
@@ -313,15 +326,15 @@ def digests(docs: DataFrame, length: int = 100, shard_rows: int = 8192) -> DataF
 def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
     """``docs`` with repeated bytes cut from ``text``; all rows and columns stay.
 
-    A cut inside a character takes the whole character; a null text stays null and a text
-    that repeats whole becomes empty.
+    A character that is only partly repeated stays whole, so none is made up; a null text
+    stays null and a text that repeats whole becomes empty.
     """
 
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         kept = []
         for text, packed in zip(texts_of(texts), spans):
             runs = runs_of(packed)
-            kept.append(kept_bytes(text_bytes(text), runs).decode("utf-8", "ignore") if runs else text)
+            kept.append(kept_text(text, runs) if runs else text)
         return pd.Series(kept, dtype="object")
 
     spans = free_name(docs, "spans")
