@@ -320,6 +320,12 @@ def lda_k1_topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lda_k1_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's heaviest words of a fitted model with one topic."""
+    words, model = lda_model(spark, sf_dir, 1)
+    return model.topic_terms(words, 10).select("k", "topic_id", "rank", "token", F.round("weight", 9).alias("weight"))
+
+
 def lda_k1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, model = lda_model(spark, sf_dir, 1)
     return model.log_perplexity().select("k", rounded("log_perplexity"))
@@ -453,6 +459,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lda_doc_topics": lda_doc_topics,
     "doc_topics_with_source": doc_topics_with_source,
     "lda_k1_topic_terms": lda_k1_topic_terms,
+    "lda_k1_top_terms": lda_k1_top_terms,
     "lda_k1_perplexity": lda_k1_perplexity,
     "lda_perplexity": lda_perplexity,
     "lda_sweep": lda_sweep,

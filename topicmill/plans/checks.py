@@ -191,6 +191,21 @@ SELECT doc_id, turn, segment FROM walk""",
         "((SELECT sum(total) FROM totals) + (SELECT count(*) FROM limited)), 9) AS weight "
         "FROM limited LEFT JOIN totals USING (token)",
     ),
+    "lda_k1_top_terms": _with(
+        [
+            *_TO_DICTIONARY,
+            *_TO_TFIDF[len(_TO_LIMITED):],
+            TOTALS,
+            (
+                "shares",
+                "SELECT token_id, token, (1 + coalesce(total, 0)) / ((SELECT sum(total) FROM totals) + "
+                "(SELECT count(*) FROM limited)) AS weight FROM dictionary LEFT JOIN totals USING (token)",
+            ),
+            ("ranked", "SELECT *, row_number() OVER (ORDER BY weight DESC, token_id) AS n FROM shares"),
+        ],
+        "SELECT CAST(1 AS INTEGER) AS k, CAST(0 AS INTEGER) AS topic_id, CAST(n AS INTEGER) AS rank, token, "
+        "round(weight, 9) AS weight FROM ranked WHERE n <= 10",
+    ),
     "lda_k1_perplexity": _with(
         [*_TO_TFIDF, TOTALS],
         "SELECT CAST(1 AS INTEGER) AS k, round(-(sum(lgamma(1 + total)) + lgamma(any_value(v)) "
