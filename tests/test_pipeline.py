@@ -2,8 +2,12 @@ import os
 
 from helpers import rows
 
-from topicmill.plans.pipeline import Corpus, Limits, compute_similarity, compute_topics
+from pyspark.sql import functions as F
+
+from topicmill.operators import lda
+from topicmill.plans.pipeline import Corpus, Limits, compute_similarity, compute_topics, infer_topics
 from topicmill.sinks import reports
+from topicmill.session import shared_folder
 from topicmill.sources import documents
 
 
@@ -39,6 +43,51 @@ def test_topics_then_again_with_other_limits(spark, tiny, tmp_path):
     assert len([n for n in os.listdir(f"{out}/{corpus}") if n.startswith("limits-")]) == 2
 
 
+def shares_of(result):
+    return {tuple(r[:3]): r[3] for r in result["doc_topics"].select("k", "doc_id", "topic_id", "weight").collect()}
+
+
+def job_folders(spark):
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    return {n for n in os.listdir(folder) if n.startswith("job-")} if os.path.isdir(folder) else set()
+
+
+def test_saved_models_know_old_and_new_documents(spark, tmp_path, monkeypatch):
+    words = ["red", "blue", "green", "black", "white"]
+    texts = [(n, f"{words[n % 5]} {words[n % 3]} {words[n % 2]} " * (1 + n % 4)) for n in range(40)] + [(99, "")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    source, out = Corpus.from_table("colours", docs), str(tmp_path / "out")
+    limits = Limits(no_below=1, no_above=0.9)
+    first = compute_topics(source, out, limits, [1, 2, 3])
+    expected = shares_of(first)
+    assert not job_folders(spark)
+
+    # A second run loads the models: fitting is not even possible.
+    with monkeypatch.context() as m:
+        m.setattr(lda, "fit_sweep", None)
+        again = compute_topics(source, out, limits, [1, 2, 3])
+        assert again.folder == first.folder
+        assert shares_of(again).keys() == expected.keys()
+        assert all(abs(w - expected[key]) < 1e-9 for key, w in shares_of(again).items())
+
+    # New documents with the texts of old ones get their topics; unknown words count for nothing.
+    fresh = docs.select((F.col("doc_id") + 1000).alias("doc_id"), F.concat("text", F.lit(" unheard")).alias("text"))
+    found = infer_topics(Corpus.from_table("fresh", fresh), first.folder, str(tmp_path / "new"))
+    shares = shares_of(found)
+    assert {(k, d - 1000, t) for k, d, t in shares} == expected.keys()
+    assert all(abs(w - expected[k, d - 1000, t]) < 1e-9 for (k, d, t), w in shares.items())
+    assert not job_folders(spark)
+
+
+def test_clean_empties_the_corpus_folder(spark, tiny, tmp_path):
+    out = str(tmp_path / "out")
+    source = Corpus.from_table("tiny", tiny)
+    old = compute_topics(source, out, Limits(no_below=1, no_above=1.0), [1])
+    new = compute_topics(source, out, Limits(no_below=2, no_above=1.0), [1], clean=True)
+    assert not os.path.exists(old.folder) and os.path.exists(new.folder)
+    assert new["index"].count() == 4
+
+
 def test_similarity_of_text_files(spark, tmp_path):
     folder = tmp_path / "files"
     folder.mkdir()

@@ -1,9 +1,9 @@
-"""The two jobs: topics for several counts, and document similarity.
+"""The jobs: topics for several counts, topics of new documents, and document similarity.
 
 Every stage is a table below the output folder. A stage is used again when the
 same parameters made it, as its path carries a hash of them; the unfiltered
 dictionary and bag of words depend on the corpus alone, so new limits do not
-count the corpus again.
+count the corpus again. Tables that a job stages elsewhere go when it ends.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicmill.functions import defaults
 from topicmill.operators import corpus, counts, dictionary, lda, lsi, similarity, tfidf
+from topicmill.session import remove_folder, stages_of_job
 from topicmill.sinks import reports, tables
 from topicmill.sources.documents import TextCorpus, table_index
-from topicmill.sources.stages import saved_table, saved_vectors
+from topicmill.sources.stages import saved_table, saved_topic_counts, saved_topics, saved_vectors
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,14 @@ class Limits:
     keep: DataFrame | None = None
 
 
+class Results(dict[str, DataFrame]):
+    """The tables of a job, by name, and the folder that holds its own stages."""
+
+    def __init__(self, folder: str, **found: DataFrame):
+        super().__init__(found)
+        self.folder = folder
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Stages shared by both jobs."""
@@ -79,12 +88,16 @@ def _stage(spark: SparkSession, path: str, build) -> DataFrame:
 
 
 def prepare(source: Corpus, outdir: str, limits: Limits, clean: bool = False) -> Prepared:
-    """Index, bag of words, dictionaries and TF-IDF matrix."""
+    """Index, bag of words, dictionaries and TF-IDF matrix. ``clean`` first removes all that
+    any run wrote for this corpus: every limit's matrix, models, results and reports."""
     spark = source.bow.sparkSession
     base = f"{outdir}/corpus-{_key(name=source.name)}"
-    again = (lambda path, build: tables.write_table(build(), path)) if clean else (
-        lambda path, build: _stage(spark, path, build)
-    )
+    if clean:
+        remove_folder(spark, base)
+
+    def again(path, build):
+        return _stage(spark, path, build)
+
     index = again(f"{base}/index", lambda: reports.number_documents(source.index))
     num_docs = index.count()
     bow = again(f"{base}/bag_of_words", lambda: source.bow)
@@ -108,7 +121,7 @@ def prepare(source: Corpus, outdir: str, limits: Limits, clean: bool = False) ->
     again(f"{folder}/corpus", lambda: corpus.doc2bow(bow, words))
     again(f"{folder}/tfidf_model", lambda: tfidf.fit_idf(words, num_docs))
     path = f"{folder}/tfidf_corpus"
-    vectors = None if clean else saved_vectors(spark, path, words.count())
+    vectors = saved_vectors(spark, path, words.count())
     if vectors is None:
         vectors = tfidf.vectors_from_bow(bow, words, num_docs, path, index)
     return Prepared(folder, index, num_docs, words, vectors)
@@ -124,19 +137,29 @@ def compute_topics(
     clean: bool = False,
     passes: int = 1,
     batch_documents: int = lda.BATCH_DOCUMENTS,
-) -> dict[str, DataFrame]:
+) -> Results:
     """Topics for each count: models, tables with a column ``k`` and text reports.
 
     Every document is read ``passes`` times, with an update for every ``batch_documents``.
+    Models that the same parameters made are loaded, not fitted again.
     """
-    ready = prepare(source, outdir, limits, clean)
-    counts = sorted({int(k) for k in topic_counts})
-    models = lda.fit_sweep(ready.vectors, counts, ready.num_docs, seed, passes, batch_documents)
-    folder = f"{ready.folder}/topics-" + _key(
-        counts=counts, terms=terms_per_topic, seed=seed, passes=passes, batch_documents=batch_documents
-    )
-    for model in models:
-        tables.write_topic_model(model, f"{folder}/lda_model/k={model.k}")
+    with stages_of_job(source.bow.sparkSession):
+        ready = prepare(source, outdir, limits, clean)
+        counts = sorted({int(k) for k in topic_counts})
+        folder = f"{ready.folder}/topics-" + _key(
+            counts=counts, terms=terms_per_topic, seed=seed, passes=passes, batch_documents=batch_documents
+        )
+        saved = saved_topics(source.bow.sparkSession, folder, counts)
+        if saved is None:
+            models = lda.fit_sweep(ready.vectors, counts, ready.num_docs, seed, passes, batch_documents)
+            for model in models:
+                tables.write_topic_model(model, f"{folder}/lda_model/k={model.k}")
+        else:
+            models = lda.saved_models(ready.vectors, saved)
+        return _topic_results(ready, models, folder, terms_per_topic)
+
+
+def _topic_results(ready: Prepared, models: list[lda.TopicModel], folder: str, terms_per_topic: int) -> Results:
     terms = tables.write_table(
         lda.sweep_topic_terms(models, ready.dictionary, terms_per_topic),
         f"{folder}/topic_terms",
@@ -154,13 +177,40 @@ def compute_topics(
             shares.filter(one), ready.index, f"{report}/doc_id_to_topic.txt"
         )
     reports.write_document_paths(ready.index, f"{folder}/reports/doc_id_to_path.txt")
-    return {
-        "index": ready.index,
-        "dictionary": ready.dictionary,
-        "topic_terms": terms,
-        "doc_topics": shares,
-        "perplexity": perplexity,
-    }
+    return Results(
+        folder,
+        index=ready.index,
+        dictionary=ready.dictionary,
+        topic_terms=terms,
+        doc_topics=shares,
+        perplexity=perplexity,
+    )
+
+
+def infer_topics(
+    source: Corpus, folder: str, outdir: str, min_weight: float = defaults.MIN_TOPIC_WEIGHT
+) -> Results:
+    """Topics of documents that the models in ``folder``, the folder of an earlier
+    ``compute_topics``, have not seen.
+
+    Dictionary and idf are those of the earlier corpus; unknown words count as absent. All
+    models read a document once. Nothing of the earlier run changes.
+    """
+    spark = source.bow.sparkSession
+    limits = folder.rstrip("/").rsplit("/", 1)[0]
+    with stages_of_job(spark):
+        words = spark.read.parquet(f"{limits}/dictionary")
+        num_docs = spark.read.parquet(f"{limits.rsplit('/', 1)[0]}/stats").first()["num_docs"]
+        counts = saved_topic_counts(spark, folder)
+        parts = saved_topics(spark, folder, counts)
+        if not parts:
+            raise ValueError(f"{folder} has no finished topic models")
+        target = f"{outdir}/topics-of-{_key(name=source.name, folder=folder, min_weight=min_weight)}"
+        index = tables.write_table(reports.number_documents(source.index), f"{target}/index")
+        vectors = tfidf.vectors_from_bow(source.bow, words, num_docs, f"{target}/tfidf_corpus", index)
+        models = lda.saved_models(vectors, parts)
+        shares = lda.sweep_doc_topics(models, index, min_weight)
+        return Results(target, index=index, doc_topics=tables.write_table(shares, f"{target}/doc_topics", "k"))
 
 
 def compute_similarity(
@@ -171,19 +221,21 @@ def compute_similarity(
     threshold: float = 0.5,
     seed: int = 42,
     clean: bool = False,
-) -> dict[str, DataFrame]:
+) -> Results:
     """Cosine among documents in the latent space, at or above ``threshold``."""
-    ready = prepare(source, outdir, limits, clean)
-    space = lsi.fit_lsi(ready.vectors, ready.num_docs, dimensions, seed=seed)
-    folder = f"{ready.folder}/similarity-" + _key(k=dimensions, threshold=threshold, seed=seed)
     spark = source.bow.sparkSession
-    values = tables.write_table(lsi.singular_values(spark, space), f"{folder}/singular_values")
-    vectors = tables.write_table(lsi.project(ready.vectors, space), f"{folder}/doc_vectors")
-    groups = similarity.copy_groups(ready.vectors.rows())
-    found = similarity.similar_in_space(vectors, groups, threshold)
-    return {
-        "singular_values": values,
-        "doc_vectors": vectors,
-        "pairs": tables.write_table(found.pairs, f"{folder}/pairs"),
-        "groups": tables.write_table(found.groups, f"{folder}/groups"),
-    }
+    with stages_of_job(spark):
+        ready = prepare(source, outdir, limits, clean)
+        space = lsi.fit_lsi(ready.vectors, ready.num_docs, dimensions, seed=seed)
+        folder = f"{ready.folder}/similarity-" + _key(k=dimensions, threshold=threshold, seed=seed)
+        values = tables.write_table(lsi.singular_values(spark, space), f"{folder}/singular_values")
+        vectors = tables.write_table(lsi.project(ready.vectors, space), f"{folder}/doc_vectors")
+        groups = similarity.copy_groups(ready.vectors.rows())
+        found = similarity.similar_in_space(vectors, groups, threshold)
+        return Results(
+            folder,
+            singular_values=values,
+            doc_vectors=vectors,
+            pairs=tables.write_table(found.pairs, f"{folder}/pairs"),
+            groups=tables.write_table(found.groups, f"{folder}/groups"),
+        )

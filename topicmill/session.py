@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# The folder, below the application's, of the stages of the running job.
+_job_folder: ContextVar[str] = ContextVar("job_folder", default="")
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -46,7 +52,29 @@ def shared_folder(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; no two calls share one."""
     application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{application}/{_job_folder.get()}{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all below it, on any file system that Spark writes to."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def stages_of_job(spark: SparkSession) -> Iterator[None]:
+    """Remove every table that is staged inside, also after a failure. What the job
+    returns must be written elsewhere by then. A job inside a job shares its folder."""
+    if _job_folder.get():
+        yield
+        return
+    folder = f"job-{uuid.uuid4().hex}/"
+    token = _job_folder.set(folder)
+    try:
+        yield
+    finally:
+        _job_folder.reset(token)
+        remove_folder(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{folder}")
 
 
 def staged(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:

@@ -20,3 +20,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def saved_vectors(spark: SparkSession, path: str, size: int) -> VectorTable | None:
     return None if saved_table(spark, path) is None else VectorTable(spark, path, size)
+
+
+def saved_topics(spark: SparkSession, folder: str, counts: list[int]) -> dict[int, DataFrame] | None:
+    """The written models of these topic counts, or None unless all are finished."""
+    found = {k: saved_table(spark, f"{folder}/lda_model/k={k}") for k in counts}
+    return None if any(terms is None for terms in found.values()) else found
+
+
+def saved_topic_counts(spark: SparkSession, folder: str) -> list[int]:
+    """The topic counts that have a folder below ``folder/lda_model``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/lda_model")
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [entry.getPath().getName() for entry in entries]
+    return sorted(int(name.removeprefix("k=")) for name in names if name.startswith("k="))
