@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicmill.functions import defaults
-from topicmill.operators import corpus, counts, dictionary, lda, lsi, similarity, tfidf
+from topicmill.operators import corpus, counts, dictionary, lda, lsi, similarity, splitting, tfidf
 from topicmill.session import remove_folder, stages_of_job
 from topicmill.sinks import reports, tables
 from topicmill.sources.documents import TextCorpus, table_index
@@ -37,8 +37,18 @@ class Corpus:
         return Corpus(name, counts.bag_of_words(docs), table_index(docs))
 
     @staticmethod
-    def from_text(name: str, text: TextCorpus) -> Corpus:
-        return Corpus(name, counts.bag_of_words_from_lines(text.lines), text.index)
+    def from_text(name: str, text: TextCorpus, split_bytes: int | None = None) -> Corpus:
+        """Text files; with ``split_bytes`` each segment of a file, cut after the line that
+        goes beyond that size, is a document of its own, ``path#segment``."""
+        if split_bytes is None:
+            return Corpus(name, counts.bag_of_words_from_lines(text.lines), text.index)
+        numbered = splitting.number_lines(text.lines)
+        cut = splitting.split_documents(numbered, "line_no", split_bytes, newline_bytes=1)
+        segments = cut.select("doc_id", "segment").distinct()
+        # A file without lines is one empty document.
+        parts = text.index.join(segments, "doc_id", "left").withColumn("segment", F.coalesce("segment", F.lit(0)))
+        index = splitting.as_documents(parts).select("doc_id", "read_error")
+        return Corpus(name, counts.bag_of_words_from_lines(splitting.as_documents(cut)), index)
 
 
 @dataclass(frozen=True)
