@@ -1,13 +1,21 @@
 import os
 
+import pytest
 from helpers import rows
-
 from pyspark.sql import functions as F
 
-from topicmill.operators import lda
-from topicmill.plans.pipeline import Corpus, Limits, compute_similarity, compute_topics, infer_topics
-from topicmill.sinks import reports
+from topicmill.operators import counts, lda
+from topicmill.plans.pipeline import (
+    Corpus,
+    Limits,
+    compute_similarity,
+    compute_topics,
+    infer_topics,
+    prepare,
+    refresh,
+)
 from topicmill.session import shared_folder
+from topicmill.sinks import reports
 from topicmill.sources import documents
 
 
@@ -108,3 +116,49 @@ def test_matrix_market(spark, tiny, tmp_path):
     assert text_of(path).splitlines() == [
         "%%MatrixMarket matrix coordinate integer general", "4 2 2", "1 1 2", "3 2 1",
     ]
+
+
+def by_words(ready):
+    """Document and word to weight: what does not depend on the numbers of words."""
+    names = ready.dictionary.select("token_id", "token")
+    found = ready.vectors.entries().join(names, "token_id").select("doc_id", "token", "weight").collect()
+    return {(r["doc_id"], r["token"]): r["weight"] for r in found}
+
+
+def test_refresh_equals_a_full_rebuild(spark, tmp_path, monkeypatch):
+    old = [(n, f"often {'usual' if n % 2 else 'other'} {'late' if n == 3 else ''} word{'abcdefgh'[n % 8]}") for n in range(20)]
+    new = [(n, f"usual late novel {'word' + 'aij'[n % 3]} often") for n in range(100, 112)] + [(200, ""), (201, None)]
+    table = lambda rows_: spark.createDataFrame(rows_, "doc_id bigint, text string")
+    out, limits = str(tmp_path / "out"), Limits(no_below=2, no_above=0.6)
+    before = prepare(Corpus.from_table("old", table(old)), out, limits)
+    whole = prepare(Corpus.from_table("whole", table(old + new)), out, limits)
+    fresh = Corpus.from_table("fresh", table(new))
+
+    monkeypatch.setattr(counts, "bag_of_words", None)  # nothing tokenises again
+    source = refresh("old", fresh, "refreshed", out, limits)
+    found = prepare(source, out, limits)
+    assert rows(found.dictionary, "token", "df", "cf") == rows(whole.dictionary, "token", "df", "cf")
+    expected, weights = by_words(whole), by_words(found)
+    assert weights.keys() == expected.keys()
+    assert weights == pytest.approx(expected, abs=1e-12)
+    assert found.num_docs == 34 and found.vectors.features().count() == 34
+
+    # "late" is admitted now, "usual" is too frequent now; numbers of other words and documents stay.
+    ids, old_ids = dict(rows(found.dictionary, "token", "token_id")), dict(rows(before.dictionary, "token", "token_id"))
+    assert "late" in ids and "late" not in old_ids and "usual" in old_ids and "usual" not in ids
+    assert {t: i for t, i in old_ids.items() if t in ids} == {t: ids[t] for t in old_ids if t in ids}
+    assert len(set(ids.values())) == len(ids)
+    assert rows(found.index.filter("doc_no < 20"), "doc_no", "doc_id") == rows(before.index, "doc_no", "doc_id")
+    assert [r[0] for r in rows(found.index, "doc_no")] == list(range(34))
+
+    # Another refresh goes on from it.
+    monkeypatch.undo()
+    last = Corpus.from_table("last", table([(300, "usual wordk wordk"), (301, "wordk late")]))
+    again = prepare(refresh("refreshed", last, "again", out, limits), out, limits)
+    rebuilt = prepare(Corpus.from_table("all", table(old + new + [(300, "usual wordk wordk"), (301, "wordk late")])), out, limits)
+    assert by_words(again) == pytest.approx(by_words(rebuilt), abs=1e-12)
+
+    with pytest.raises(ValueError):
+        refresh("old", Corpus.from_table("twice", table(old[:1])), "clash", out, limits)
+    with pytest.raises(ValueError):
+        refresh("unheard", fresh, "none", out, limits)

@@ -23,6 +23,23 @@ def renumber(terms: DataFrame) -> DataFrame:
     )
 
 
+def keep_ids(terms: DataFrame, earlier: DataFrame) -> DataFrame:
+    """``terms`` with the ids of an earlier dictionary; words that it lacks get the next free
+    ids in token order. Ids of words that are gone stay unused."""
+    known = terms.select("token", "df", "cf").join(earlier.select("token", "token_id"), "token", "left")
+    fresh = number_by(
+        known.filter(F.col("token_id").isNull()).drop("token_id"), "token", "token_id", first=id_space(earlier)
+    )
+    found = known.filter(F.col("token_id").isNotNull()).unionByName(fresh)
+    return found.select("token", "token_id", "df", "cf")
+
+
+def id_space(terms: DataFrame) -> int:
+    """One more than the largest id."""
+    last = terms.agg(F.max("token_id")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def upper_limit(no_above: float, num_docs: int) -> int:
     return int(no_above * num_docs)
 
@@ -74,12 +91,11 @@ def merge_dictionaries(base: DataFrame, other: DataFrame) -> DataFrame:
         .groupBy("token")
         .agg(F.max("token_id").alias("token_id"), F.sum("df").alias("df"), F.sum("cf").alias("cf"))
     )
-    last = base.agg(F.max("token_id")).first()[0]
     fresh = number_by(
         counts.filter(F.col("token_id").isNull()).drop("token_id"),
         "token",
         "token_id",
-        first=0 if last is None else last + 1,
+        first=id_space(base),
     )
     return counts.filter(F.col("token_id").isNotNull()).unionByName(fresh)
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from topicmill.functions import defaults
 from topicmill.operators import counts
+from topicmill.operators.dictionary import id_space
 from topicmill.session import stage_path
 
 STORED_VECTOR = T.StructType(
@@ -118,7 +119,7 @@ def vectors_from_bow(
     weights = bow.join(table.select("token", "token_id", "idf"), "token").select(
         "doc_id", "token_id", (F.col("tf") * F.col("idf")).alias("weight")
     )
-    return vectors_from_weights(weights, dictionary.count(), path, docs, scale=True)
+    return vectors_from_weights(weights, id_space(dictionary), path, docs, scale=True)
 
 
 def vectors_from_weights(

@@ -1,4 +1,5 @@
-"""The jobs: topics for several counts, topics of new documents, and document similarity.
+"""The jobs: topics for several counts, topics of new documents, document similarity, and
+a prepared corpus with documents added.
 
 Every stage is a table below the output folder. A stage is used again when the
 same parameters made it, as its path carries a hash of them; the unfiltered
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicmill.functions import defaults
 from topicmill.operators import corpus, counts, dictionary, lda, lsi, similarity, splitting, tfidf
+from topicmill.operators.numbering import number_by
 from topicmill.session import remove_folder, stages_of_job
 from topicmill.sinks import reports, tables
 from topicmill.sources.documents import TextCorpus, table_index
@@ -97,11 +99,24 @@ def _stage(spark: SparkSession, path: str, build) -> DataFrame:
     return tables.write_table(build(), path) if found is None else found
 
 
+def _corpus_folder(outdir: str, name: str) -> str:
+    return f"{outdir}/corpus-{_key(name=name)}"
+
+
+def _limits_folder(limits: Limits) -> str:
+    return "limits-" + _key(
+        no_below=limits.no_below,
+        no_above=limits.no_above,
+        stop=_list_hash(limits.stop),
+        keep=_list_hash(limits.keep),
+    )
+
+
 def prepare(source: Corpus, outdir: str, limits: Limits, clean: bool = False) -> Prepared:
     """Index, bag of words, dictionaries and TF-IDF matrix. ``clean`` first removes all that
     any run wrote for this corpus: every limit's matrix, models, results and reports."""
     spark = source.bow.sparkSession
-    base = f"{outdir}/corpus-{_key(name=source.name)}"
+    base = _corpus_folder(outdir, source.name)
     if clean:
         remove_folder(spark, base)
 
@@ -114,12 +129,7 @@ def prepare(source: Corpus, outdir: str, limits: Limits, clean: bool = False) ->
     unfiltered = again(f"{base}/dictionary_unfiltered", lambda: dictionary.build_dictionary(bow))
     again(f"{base}/stats", lambda: counts.stats_from_terms(unfiltered, num_docs))
 
-    folder = f"{base}/limits-" + _key(
-        no_below=limits.no_below,
-        no_above=limits.no_above,
-        stop=_list_hash(limits.stop),
-        keep=_list_hash(limits.keep),
-    )
+    folder = f"{base}/{_limits_folder(limits)}"
     words = again(
         f"{folder}/dictionary",
         lambda: dictionary.renumber(
@@ -131,12 +141,73 @@ def prepare(source: Corpus, outdir: str, limits: Limits, clean: bool = False) ->
     again(f"{folder}/corpus", lambda: corpus.doc2bow(bow, words))
     again(f"{folder}/tfidf_model", lambda: tfidf.fit_idf(words, num_docs))
     path = f"{folder}/tfidf_corpus"
-    vectors = saved_vectors(spark, path, words.count())
+    vectors = saved_vectors(spark, path, dictionary.id_space(words))
     if vectors is None:
         vectors = tfidf.vectors_from_bow(bow, words, num_docs, path, index)
     return Prepared(folder, index, num_docs, words, vectors)
 
 
+def refresh(earlier: str, fresh: Corpus, name: str, outdir: str, limits: Limits = Limits()) -> Corpus:
+    """The corpus ``name``: that of the name ``earlier``, prepared in ``outdir`` with the same
+    limits, and the documents of ``fresh``. Their ids must be new.
+
+    Its stages are made from those of ``earlier``, whose text is not read and whose stages
+    stay. Known words and documents keep their numbers. Limits and idf follow the new counts,
+    so weights are computed again from the kept numbers; of the earlier bag of words only the
+    words are looked up that the limits now admit. Broken off, it goes on where it stopped.
+    """
+    spark = fresh.bow.sparkSession
+    was, base, part = _corpus_folder(outdir, earlier), _corpus_folder(outdir, name), _limits_folder(limits)
+
+    def old(path: str) -> DataFrame:
+        found = saved_table(spark, f"{was}/{path}")
+        if found is None:
+            raise ValueError(f"{earlier} has no finished {path} in {outdir}")
+        return found
+
+    def stage(path: str, build) -> DataFrame:
+        return _stage(spark, f"{base}/{path}", build)
+
+    with stages_of_job(spark):
+        old_index, old_words, old_bow = old("index"), old(f"{part}/dictionary"), old("bag_of_words")
+        if not fresh.index.join(old_index, "doc_id", "left_semi").isEmpty():
+            raise ValueError("some documents are in the earlier corpus already")
+        index = stage(
+            "index",
+            lambda: old_index.unionByName(
+                number_by(fresh.index, "doc_id", "doc_no", first=old_index.count()).select(*old_index.columns)
+            ),
+        )
+        num_docs = index.count()
+        more = stage("fresh_bag_of_words", lambda: fresh.bow)
+        bow = stage("bag_of_words", lambda: old_bow.unionByName(more.select(*old_bow.columns)))
+        unfiltered = stage(
+            "dictionary_unfiltered",
+            lambda: dictionary.merge_dictionaries(old("dictionary_unfiltered"), counts.term_statistics(more)),
+        )
+        stage("stats", lambda: counts.stats_from_terms(unfiltered, num_docs))
+        in_limits = dictionary.filter_dictionary(
+            unfiltered, num_docs, limits.no_below, limits.no_above, limits.stop, limits.keep
+        )
+        words = stage(f"{part}/dictionary", lambda: dictionary.keep_ids(in_limits, old_words))
+        admitted = words.join(old_words.select("token"), "token", "left_anti")
+        numbers = stage(
+            f"{part}/corpus",
+            lambda: old(f"{part}/corpus")
+            .join(words.select("token_id"), "token_id", "left_semi")
+            .unionByName(corpus.doc2bow(old_bow, admitted))
+            .unionByName(corpus.doc2bow(more, words)),
+        )
+        idf = stage(f"{part}/tfidf_model", lambda: tfidf.fit_idf(words, num_docs))
+        path = f"{base}/{part}/tfidf_corpus"
+        if saved_table(spark, path) is None:
+            weights = numbers.join(idf.select("token_id", "idf"), "token_id").select(
+                "doc_id", "token_id", (F.col("tf") * F.col("idf")).alias("weight")
+            )
+            tfidf.vectors_from_weights(weights, dictionary.id_space(words), path, index, scale=True)
+    return Corpus(name, bow, index.select("doc_id", "read_error"))
+
+
 def compute_topics(
     source: Corpus,
     outdir: str,
