@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from topicmill.functions import defaults
 from topicmill.operators import (
     corpus,
     counts,
@@ -417,6 +418,37 @@ def report_document_lines_k1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_no", (F.col("topic_id") + 1).alias("line_no"), "line")
 
 
+LETTER_CLASSES = 4
+
+
+def letter_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(k, doc_id, topic_id, weight)``: a topic table that SQL can compute as well. A topic is
+    a class of first letters, its weight the share of the document's words in thousandths."""
+    of_class = (F.ascii("token") - F.ascii(F.lit("a"))) % LETTER_CLASSES
+    found = bow(spark, sf_dir).groupBy("doc_id").agg(
+        F.sum("tf").alias("all"),
+        *[F.sum(F.when(of_class == c, F.col("tf")).otherwise(0)).alias(f"c{c}") for c in range(LETTER_CLASSES)],
+    )
+    shares = F.array(*[F.floor(F.lit(1000.0) * F.col(f"c{c}") / F.col("all")) / 1000 for c in range(LETTER_CLASSES)])
+    prior = F.array_repeat(F.lit(1.0 / LETTER_CLASSES), LETTER_CLASSES)
+    given = documents(spark, sf_dir).select("doc_id").join(found, "doc_id", "left")
+    return lda.topic_rows(
+        given.select(F.lit(LETTER_CLASSES).alias("k"), "doc_id", F.coalesce(shares, prior).alias("shares")),
+        defaults.MIN_TOPIC_WEIGHT,
+    )
+
+
+def report_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's heading and its topics by ascending weight, with the line's place."""
+    topics, index = letter_topics(spark, sf_dir), numbered_index(spark, sf_dir)
+    places = lda.nested_doc_topics(topics).join(index, "doc_id").select(
+        "doc_no", F.posexplode("topics").alias("place", "topic")
+    )
+    line_no = places.select("doc_no", F.col("topic.topic_id").alias("topic_id"), (F.col("place") + 1).alias("line_no"))
+    lines = reports.document_topic_lines(topics, index).join(line_no, ["doc_no", "topic_id"], "left")
+    return lines.select("doc_no", F.coalesce("line_no", F.lit(0)).alias("line_no"), "line")
+
+
 def report_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.document_path_lines(numbered_index(spark, sf_dir))
 
@@ -472,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf_common_word": tfidf_common_word,
     "lda_share_totals": lda_share_totals,
     "report_document_lines_k1": report_document_lines_k1,
+    "report_document_lines": report_document_lines,
     "report_paths": report_paths,
     "matrix_market": matrix_market,
 }

@@ -238,6 +238,24 @@ SELECT doc_id, turn, segment FROM walk""",
     "report_document_lines_k1": "SELECT doc_no, n AS line_no, CASE n WHEN 0 THEN 'Doc #' || doc_no "
     "ELSE chr(9) || '1.0 on topic #0' END AS line FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_no "
     "FROM documents) AS numbered, (VALUES (CAST(0 AS INTEGER)), (1)) AS lines(n)",
+    "report_document_lines": _with(
+        [
+            TOKENS,
+            ("of_class", "SELECT doc_id, (ascii(token) - 97) % 4 AS topic_id, count(*) AS c FROM tokens GROUP BY 1, 2"),
+            ("sizes", "SELECT doc_id, count(*) AS n FROM tokens GROUP BY 1"),
+            ("numbered", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS doc_no FROM documents"),
+            (
+                "shares",
+                "SELECT doc_no, t.topic_id, CASE WHEN n IS NULL THEN CAST(0.25 AS DOUBLE) ELSE "
+                "floor(CAST(1000 AS DOUBLE) * coalesce(c, 0) / n) / CAST(1000 AS DOUBLE) END AS weight FROM numbered "
+                "CROSS JOIN (VALUES (0), (1), (2), (3)) AS t(topic_id) LEFT JOIN sizes USING (doc_id) "
+                "LEFT JOIN of_class ON of_class.doc_id = numbered.doc_id AND of_class.topic_id = t.topic_id",
+            ),
+        ],
+        "SELECT doc_no, CAST(0 AS INTEGER) AS line_no, 'Doc #' || doc_no AS line FROM numbered UNION ALL "
+        "SELECT doc_no, CAST(row_number() OVER (PARTITION BY doc_no ORDER BY weight, topic_id) AS INTEGER), "
+        "chr(9) || CAST(weight AS VARCHAR) || ' on topic #' || topic_id FROM shares WHERE weight >= 0.01",
+    ),
     "report_paths": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_no, 'Doc #' || "
     "(row_number() OVER (ORDER BY doc_id) - 1) || chr(9) || doc_id AS line FROM documents",
     "matrix_market": _with(
