@@ -1,8 +1,7 @@
 """Look-ups between a bag of words and a dictionary.
 
-The joins carry no broadcast hint: Spark broadcasts the dictionary while it is
-below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where
-adaptive execution splits the partitions of very frequent words.
+A dictionary of checked size is broadcast; beyond it only its frequent words are,
+and the others meet by a shuffle (``lookup``).
 """
 
 from __future__ import annotations
@@ -12,12 +11,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from topicmill.functions import defaults
+from topicmill.operators.lookup import join_words
 
 
 def lookup_ids(bow: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(doc_id, token, token_id, tf)``; words not in the dictionary get -1."""
     ids = dictionary.select("token", "token_id")
-    return bow.join(ids, "token", "left").select(
+    return join_words(bow, ids, "token", "left").select(
         "doc_id",
         "token",
         F.coalesce("token_id", F.lit(defaults.UNKNOWN_TOKEN_ID)).alias("token_id"),
@@ -34,7 +34,7 @@ def doc2idx(bow: DataFrame, dictionary: DataFrame) -> DataFrame:
 def doc2bow(bow: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(doc_id, token_id, tf)`` of the known words only."""
     ids = dictionary.select("token", "token_id")
-    return bow.join(ids, "token").select("doc_id", "token_id", "tf")
+    return join_words(bow, ids, "token").select("doc_id", "token_id", "tf")
 
 
 def union_corpora(parts: dict[str, DataFrame]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from topicmill.functions import defaults
 from topicmill.operators import counts
 from topicmill.operators.dictionary import id_space
+from topicmill.operators.lookup import join_words
 from topicmill.session import stage_path
 
 STORED_VECTOR = T.StructType(
@@ -33,7 +34,7 @@ def fit_idf(terms: DataFrame, num_docs: int) -> DataFrame:
 
 def tfidf_raw(bow: DataFrame, idf: DataFrame, key: str = "token") -> DataFrame:
     """``(doc_id, key, df, weight)`` before normalising."""
-    return bow.join(idf.select(key, "df", "idf"), key).select(
+    return join_words(bow, idf.select(key, "df", "idf"), key).select(
         "doc_id", key, "df", (F.col("tf") * F.col("idf")).alias("weight")
     )
 
@@ -116,7 +117,7 @@ def vectors_from_bow(
     """The table from ``(doc_id, token, tf)``: one join with the dictionary, one
     exchange by document."""
     table = fit_idf(dictionary, num_docs)
-    weights = bow.join(table.select("token", "token_id", "idf"), "token").select(
+    weights = join_words(bow, table.select("token", "token_id", "idf"), "token").select(
         "doc_id", "token_id", (F.col("tf") * F.col("idf")).alias("weight")
     )
     return vectors_from_weights(weights, id_space(dictionary), path, docs, scale=True)
