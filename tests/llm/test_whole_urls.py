@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 from topicmill.llm import catalog, url_filter
+from topicmill.operators import lookup
 
 ORDER, TRUST, ALPHABET, STEP = 4, 2.0, 128, 0.005
 
@@ -91,3 +92,23 @@ def test_numbers_tell_urls_apart(spark):
     got = {ROWS[r["page_id"]]: r["score"] for r in url_filter.judged(pages, catalog.URL_RULES).collect()}
     assert got["http://10.1.2.3/"] != got["http://192.168.0.9/"]
     assert got["http://g00gle.org/7"] != got["http://g00gle.org/977777"]
+
+
+def test_long_urls_and_other_planes(spark):
+    """A URL of 100,000 characters is scored whole, and characters outside the first plane stay one."""
+    long = "http://u.org/" + "".join(f"{i * 7919 % 1000:03d}/é" for i in range(20_000))
+    urls = [*ROWS[:60], long, "http://\U0001f600.org/\U0001f600a", *[HEAVY] * 5]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r["score"] for r in url_filter.judged(pages, catalog.URL_RULES).collect()}
+    assert len(long) > 100_000
+    models = trained(urls)
+    for i, url in enumerate(urls):
+        assert abs(got[i] - score(url, models)) < 1e-9, url[:80]
+
+
+def test_same_verdicts_when_frequent_grams_are_met_apart(spark, monkeypatch):
+    pages = spark.createDataFrame(list(enumerate(ROWS)), "page_id long, url string")
+    whole = sorted(map(tuple, url_filter.judged(pages, catalog.URL_RULES).drop("score").collect()))
+    monkeypatch.setattr(lookup, "HEAD_BYTES", 2000)
+    apart = sorted(map(tuple, url_filter.judged(pages, catalog.URL_RULES).drop("score").collect()))
+    assert whole == apart

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicmill.llm.common import written
+from topicmill.operators.lookup import join_words
 
 #: A character that no URL holds stands before its start.
 START = "\u0001"
@@ -41,14 +42,15 @@ def decided(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
 
 
 def _grams(urls: DataFrame, order: int, *columns: str) -> DataFrame:
-    """A row for each character of a URL: the ``order`` characters before it and itself."""
-    padded = F.concat(F.lit(START * order), F.col("url"))
-    places = F.sequence(F.lit(1), F.length("url"))
-    return (
-        urls.filter(F.length("url") > 0)
-        .select(*columns, padded.alias("padded"), F.explode(places).alias("at"))
-        .select(*columns, F.substr("padded", F.col("at"), F.lit(order + 1)).alias("gram"))
-    )
+    """A row for each character of a URL: the ``order`` characters before it and itself.
+
+    The URL is cut into characters once and stays in its row, so the work is linear in its length.
+    """
+    chars = F.concat(F.array_repeat(F.lit(START), order), F.split("url", ""))
+    cut = urls.filter(F.length("url") > 0).select(*columns, F.length("url").alias("size"), chars.alias("chars"))
+    shifted = [F.slice("chars", F.lit(k + 1), F.col("size")).alias(f"c{k}") for k in range(order + 1)]
+    grams = F.transform(F.arrays_zip(*shifted), lambda g: F.concat(*[g[f"c{k}"] for k in range(order + 1)]))
+    return cut.select(*columns, F.explode(grams).alias("gram"))
 
 
 def character_ratios(trained: DataFrame, wanted: DataFrame, order: int, trust: float, alphabet: int) -> DataFrame:
@@ -64,6 +66,8 @@ def character_ratios(trained: DataFrame, wanted: DataFrame, order: int, trust: f
         last, before = F.substr("gram", F.lit(order + 1 - k), F.lit(k + 1)), F.substr("gram", F.lit(order + 1 - k), F.lit(k))
         grams = trained.groupBy(last.alias(seen)).agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
         contexts = trained.groupBy(before.alias(seen)).agg(F.sum("allow").alias("allow_all"), F.sum("block").alias("block_all"))
+        if k == 0:  # the empty context alone: one row
+            contexts = F.broadcast(contexts)
         model = model.withColumn(seen, last).join(grams, seen, "left").withColumn(seen, before).join(contexts, seen, "left")
         step = [
             (
@@ -77,17 +81,21 @@ def character_ratios(trained: DataFrame, wanted: DataFrame, order: int, trust: f
 
 
 def scored(trained: DataFrame, wanted: DataFrame, order: int, trust: float, alphabet: int) -> DataFrame:
-    """``wanted`` and ``score``; the URLs of ``trained`` count ``allow`` and ``block`` times each."""
+    """``wanted`` and ``score``; the URLs of ``trained`` count ``allow`` and ``block`` times each.
+
+    Characters travel with the ``key`` of their URL, not with the URL. The grams with most
+    rows, such as the first ones of every URL, meet their ratios without a shuffle.
+    """
     counts = written(
         _grams(trained, order, "allow", "block")
         .groupBy("gram")
         .agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")),
         "url-grams",
     )
-    grams = _grams(wanted, order, "url")
-    ratios = character_ratios(counts, grams, order, trust, alphabet)
-    totals = grams.join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
-    return wanted.join(totals, "url", "left").na.fill(0.0, ["score"])
+    grams = _grams(wanted, order, "key")
+    ratios = written(character_ratios(counts, grams, order, trust, alphabet), "url-ratios")
+    totals = join_words(grams, ratios, "gram").groupBy("key").agg(F.avg("ratio").alias("score"))
+    return wanted.join(totals, "key", "left").na.fill(0.0, ["score"])
 
 
 def threshold(held: DataFrame, step: float = 0.005, most: float = 20.0) -> DataFrame:
@@ -132,7 +140,8 @@ def judged(
 
     A null URL is judged as an empty one, whose score is 0. Where held-out URLs of both kinds
     are missing, URLs without a rule are allowed. Repeated rows are judged each, a null
-    ``page_id`` stays null, other columns are ignored, an empty table gives no rows.
+    ``page_id`` stays null, other columns are ignored, an empty table gives no rows. URLs are
+    told apart by themselves when they are grouped, and by their MD5 when rows get their score.
     """
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"))
@@ -141,11 +150,14 @@ def judged(
     rows = rows.select("page_id", "host", "path", "url", rule.alias("rule"), verdict.alias("ruled"))
     says = {c: F.count(F.when(F.col("ruled") == c, 1)).alias(c) for c in ("allow", "block")}
     held = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0
-    urls = written(rows.groupBy("url").agg(*says.values()).withColumn("held", held), "urls")
+    key = F.md5(F.col("url").cast("binary"))
+    urls = rows.groupBy("url").agg(*says.values()).select("*", held.alias("held"), key.alias("key"))
+    urls = written(urls, "urls")
     ruled = urls.filter("allow + block > 0")
     model = (order, trust, alphabet)
     cut = threshold(scored(ruled.filter("not held"), ruled.filter("held"), *model))
     scores = written(scored(ruled, urls, *model), "url-scores")
-    judged_rows = rows.join(scores.select("url", "score"), "url").crossJoin(F.broadcast(cut))  # one row
+    keyed = rows.select("page_id", "host", "path", "rule", "ruled", key.alias("key"))
+    judged_rows = join_words(keyed, scores.select("key", "score"), "key").crossJoin(F.broadcast(cut))  # one row
     guess = F.when(F.col("score") >= F.col("cut"), "block").otherwise("allow")
     return judged_rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", guess).alias("verdict"), "score")
