@@ -29,17 +29,19 @@ def frequent_keys(rows: DataFrame, key: str) -> DataFrame:
     return counted.orderBy(F.desc("_rows"), key).limit(most).select(key)
 
 
-def join_words(rows: DataFrame, words: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_words(
+    rows: DataFrame, words: DataFrame, key: str, how: str = "inner", written: bool = False
+) -> DataFrame:
     """``rows`` joined (``inner`` or ``left``) with ``words``, a table of a unique key and numbers.
 
     A table of at most ``HEAD_BYTES`` goes to all tasks, and the rows are not shuffled. Beyond,
-    the rows are written, and their most frequent keys are met by a broadcast of that many
+    the rows are written, unless they are read from a ``written`` table, and their most frequent keys are met by a broadcast of that many
     bytes; what is left is shuffled by key. None of it is more frequent than the last key of
     the broadcast, so no task gets a share of the rows, whatever adaptive execution does.
     """
     if table_bytes(words, key) <= HEAD_BYTES:
         return rows.join(F.broadcast(words), key, how)
-    rows = staged(rows, "looked-up")
+    rows = rows if written else staged(rows, "looked-up")
     head = staged(frequent_keys(rows, key), "frequent")
     frequent = rows.join(F.broadcast(staged(head.join(words, key, how), "frequent-words")), key)
     rare = rows.join(F.broadcast(head), key, "left_anti").join(words.hint("merge"), key, how)

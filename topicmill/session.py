@@ -11,6 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # The folder, below the application's, of the stages of the running job.
 _job_folder: ContextVar[str] = ContextVar("job_folder", default="")
@@ -82,9 +83,16 @@ def staged(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFram
 
     The result survives the loss of executors without recomputing its lineage,
     and a plan that reads it twice sees the same rows both times. Row groups of
-    ``group_bytes`` let several tasks share a large file.
+    ``group_bytes`` let several tasks share a large file. The write's own shuffle
+    files go at its end.
     """
     path = stage_path(df.sparkSession, name)
     writer = df.write if group_bytes is None else df.write.option("parquet.block.size", str(group_bytes))
-    writer.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_FILE_CLEANUP, "false")
+    conf.set(_FILE_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        conf.set(_FILE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
