@@ -81,6 +81,22 @@ def test_word_ids_equal_the_library(spark):
         assert ids == encoded(text).tobytes()
 
 
+def test_known_words_are_not_cut_again(monkeypatch):
+    """A plain text of remembered words is looked up word by word, without the cut into runs."""
+    from topicmill.llm import word_tokens
+
+    texts = ["One two, (three) two-fold!\xa0x_1 " + "ab-" * 50, "Two, one"]
+    coder = word_tokens.WordTokenizer(WORD_PATH)
+    first = coder.encode_all(texts)
+    assert first == [encoded(t).tobytes() for t in texts]
+    cut = []
+    monkeypatch.setattr(word_tokens, "RUNS", type("Runs", (), {"findall": lambda self, w: cut.append(w) or re.findall(r"[^\W\d_]+|(?:[^\w\s]|[\d_])+", w)})())
+    assert coder.encode_all([*texts, "two, x_1 New"]) == [*first, encoded("two, x_1 New").tobytes()]
+    assert sorted(cut) == ["ab-" * 50, "new"]  # the long one is not remembered
+    monkeypatch.setattr(word_tokens, "REMEMBERED", 2)
+    assert coder.encode_all(["some more words", *texts]) == [encoded("some more words").tobytes(), *first]
+
+
 def test_context_limits(spark):
     found = lengths.context_limits(lengths.encoded_lengths(documents(spark), WORD_PATH)).collect()
     counts = [len(encoded(t)) for _, t in rows()]
