@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import filterfalse
+from itertools import chain, filterfalse
 
 import numpy as np
 
@@ -97,10 +97,8 @@ class WordTokenizer:
         again = list(filter(self._earlier.__contains__, new_words))
         self._words.update(zip(again, map(self._earlier.__getitem__, again)))
         new_words = new_words.difference(again)
-        whole = list(filter(str.isalpha, new_words))  # a word of letters is one run
-        runs = {w: RUNS.findall(w.lower()) for w in new_words.difference(whole)}
-        lower = list(map(str.lower, whole))
-        parts = set(lower).union(*runs.values(), *[part for _, part in others])
+        runs = dict(zip(new_words, map(RUNS.findall, map(str.lower, new_words))))
+        parts = set(chain.from_iterable(runs.values())).union(*[part for _, part in others])
         new = parts.difference(self._known)
         long = [c for c in new if len(c) > LONGEST]
         if len(self._known) + len(new) > REMEMBERED:
@@ -108,8 +106,7 @@ class WordTokenizer:
         self._learn(new.difference(long))
         self._known.update(zip(long, self._whole(long)))
         known = self._known.__getitem__
-        self._words.update(zip(whole, map(known, lower)))
-        self._words.update((w, b"".join(map(known, part))) for w, part in runs.items())
+        self._words.update((w, known(part[0]) if len(part) == 1 else b"".join(map(known, part))) for w, part in runs.items())
         self._put(self._words, plain, found)
         self._put(self._known, others, found)
         for part in long:
