@@ -307,10 +307,11 @@ def compute_similarity(
     spark = source.bow.sparkSession
     with stages_of_job(spark):
         ready = prepare(source, outdir, limits, clean)
-        space = lsi.fit_lsi(ready.vectors, ready.num_docs, dimensions, seed=seed)
+        dealt = lsi.deal(ready.vectors)
+        space = lsi.fit_lsi(dealt, ready.num_docs, dimensions, seed=seed)
         folder = f"{ready.folder}/similarity-" + _key(k=dimensions, threshold=threshold, seed=seed)
         values = tables.write_table(lsi.singular_values(spark, space), f"{folder}/singular_values")
-        vectors = tables.write_table(lsi.project(ready.vectors, space), f"{folder}/doc_vectors")
+        vectors = tables.write_table(lsi.project(dealt, space), f"{folder}/doc_vectors")
         groups = similarity.copy_groups(ready.vectors.rows())
         found = similarity.similar_in_space(vectors, groups, threshold)
         return Results(
